@@ -85,12 +85,48 @@ def _median_seconds() -> Column:
     return F.percentile("seconds_to_shot", 0.5, F.col("n"))
 
 
-def shot_rate_grid(tables: WinTables, filters: Filters = NO_FILTERS, rules: Rules = RULES) -> DataFrame:
+def cells(rows: DataFrame, *by: str, rules: Rules = RULES) -> DataFrame:
     """Shot rate per cell of the offensive zone, with the cell centre in rink coordinates."""
-    cells = selected(tables, filters).groupBy("bx", "by_").agg(_wins().alias("n"), _rate().alias("rate"))
+    counted = rows.groupBy(*by, "bx", "by_").agg(_wins().alias("n"), _rate().alias("rate"))
     centre_x = rules.grid_origin_x + F.col("bx") * rules.grid_cell_x + rules.grid_cell_x / 2 - rules.grid_centre_x
     centre_y = F.col("by_") * rules.grid_cell_y + rules.grid_cell_y / 2 - rules.grid_centre_y
-    return cells.withColumns({"cx": centre_x, "cy": centre_y})
+    return counted.withColumns({"cx": centre_x, "cy": centre_y})
+
+
+def types(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy(*by, "win_type").agg(
+        _median_seconds().alias("med_seconds_to_shot"),
+        _wins(F.col("is_goal")).alias("total_goals"),
+        _wins().alias("wins"),
+        _rate().alias("rate"),
+    )
+
+
+def reasons(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy(*by, "end_reason").agg(_wins().alias("totals"))
+
+
+def totals(rows: DataFrame, *by: str) -> DataFrame:
+    """Without `by` this is one row, also when nothing is selected."""
+    goal = F.col("is_goal")
+
+    def count(condition: Column | None = None) -> Column:
+        return F.coalesce(_wins(condition), F.lit(0))
+
+    return rows.groupBy(*by).agg(
+        count().alias("wins"),
+        count(F.col("event") == "Puck Recovery").alias("recoveries"),
+        count(F.col("event") == "Takeaway").alias("takeaways"),
+        count(goal).alias("goals"),
+        count(goal & (F.col("win_type") == "Rebound")).alias("rebound_goals"),
+        count(F.col("led_to_shot")).alias("shots"),
+        _rate().alias("rate"),
+        _median_seconds().alias("med_secs"),
+    )
+
+
+def shot_rate_grid(tables: WinTables, filters: Filters = NO_FILTERS, rules: Rules = RULES) -> DataFrame:
+    return cells(selected(tables, filters), rules=rules)
 
 
 def team_list(tables: WinTables) -> DataFrame:
@@ -135,45 +171,16 @@ def shot_rate_by_win_type(
     tables: WinTables, team: str | None = None, player: str | None = None, strength: str | None = None
 ) -> DataFrame:
     """Every win type side by side, so there is no filter on win type."""
-    return (
-        selected(tables, Filters(team, player, strength))
-        .groupBy("win_type")
-        .agg(
-            _median_seconds().alias("med_seconds_to_shot"),
-            _wins(F.col("is_goal")).alias("total_goals"),
-            _wins().alias("wins"),
-            _rate().alias("rate"),
-        )
-        .orderBy("rate", "win_type")
-    )
+    return types(selected(tables, Filters(team, player, strength))).orderBy("rate", "win_type")
 
 
 def summary(tables: WinTables, filters: Filters = NO_FILTERS) -> DataFrame:
-    """One row, also when nothing is selected: counts 0, rate and median unknown."""
-    goal = F.col("is_goal")
-
-    def count(condition: Column | None = None) -> Column:
-        return F.coalesce(_wins(condition), F.lit(0))
-
-    return selected(tables, filters).agg(
-        count().alias("wins"),
-        count(F.col("event") == "Puck Recovery").alias("recoveries"),
-        count(F.col("event") == "Takeaway").alias("takeaways"),
-        count(goal).alias("goals"),
-        count(goal & (F.col("win_type") == "Rebound")).alias("rebound_goals"),
-        count(F.col("led_to_shot")).alias("shots"),
-        _rate().alias("rate"),
-        _median_seconds().alias("med_secs"),
-    )
+    """One row: counts are 0, rate and median unknown, when nothing is selected."""
+    return totals(selected(tables, filters))
 
 
 def end_reasons(tables: WinTables, filters: Filters = NO_FILTERS) -> DataFrame:
-    return (
-        selected(tables, filters)
-        .groupBy("end_reason")
-        .agg(_wins().alias("totals"))
-        .orderBy(F.desc("totals"), "end_reason")
-    )
+    return reasons(selected(tables, filters)).orderBy(F.desc("totals"), "end_reason")
 
 
 def end_reason_shares(tables: WinTables, filters: Filters = NO_FILTERS) -> DataFrame:

@@ -26,6 +26,19 @@ def shared_dir(spark: SparkSession) -> str:
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Write the rows once and read them back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A folder name in the shared folder that nothing else uses."""
+    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def file_state(spark: SparkSession, path: str) -> tuple:
+    """Path, size and last change of the files under a path."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return (path, *[(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in system.listStatus(where)])
