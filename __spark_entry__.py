@@ -27,9 +27,18 @@ SMALL = Limits(group_rows=100, chunk_rows=64, one_task_rows=16)
 _BUILT: dict[tuple, Layers] = {}
 
 
+def _input_key(spark: SparkSession, sf_dir: str) -> tuple:
+    return (spark.sparkContext.applicationId, file_state(spark, f"{sf_dir}/events.parquet"))
+
+
+def use_layers(spark: SparkSession, sf_dir: str, built: Layers) -> None:
+    """Answers queries on this folder from tables that are already built."""
+    _BUILT[_input_key(spark, sf_dir)] = built
+
+
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
     """The tables built from this folder: built once per session, again if the input changes."""
-    key = (spark.sparkContext.applicationId, file_state(spark, f"{sf_dir}/events.parquet"))
+    key = _input_key(spark, sf_dir)
     if key not in _BUILT:
         _BUILT[key] = build_scratch(raw_log(spark, sf_dir))
     return _BUILT[key]

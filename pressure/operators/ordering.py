@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressure.config import LIMITS
-from pressure.sources.scratch import keep
+from pressure.sources.scratch import keep, keep_counted
 
 
 def running_total(
@@ -27,8 +27,7 @@ def running_total(
     """
     weight = F.lit(1) if weight is None else weight
     sort = [F.col(c).asc_nulls_last() for c in order]
-    rows = keep(df, "ordered")
-    count = rows.count()
+    rows, count = keep_counted(df, "ordered")
     so_far = (Window.unboundedPreceding, Window.currentRow)
     if count <= one_task_rows:
         return rows.withColumn(

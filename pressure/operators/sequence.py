@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressure.config import LIMITS, Limits
-from pressure.sources.scratch import keep
+from pressure.sources.scratch import keep_counted
 
 Aggregates = dict[str, tuple[Callable[[Column], Column], Column]]
 
@@ -29,8 +29,8 @@ def split_by_size(
 ) -> DataFrame:
     """Runs `job(rows, chunk)` with no chunk on ordinary groups and with one on the large groups."""
     sizes = df.groupBy(*by).agg(F.count("*").alias("_rows"))
-    large = keep(sizes.filter(F.col("_rows") > limits.group_rows).select(*by), "large-groups")
-    if large.isEmpty():
+    large, count = keep_counted(sizes.filter(F.col("_rows") > limits.group_rows).select(*by), "large-groups")
+    if count == 0:
         return job(df, None)
     # At most total rows / group_rows of these; Spark broadcasts them if their size allows.
     ordinary = df.join(large, _same(df, large, by), "left_anti")
@@ -161,7 +161,7 @@ def first_outcome(
         fields = F.struct(*[value[c].alias(c) for c in [order, time, *payload]])
         return F.when(seen & condition, fields)
 
-    anchors = keep(
+    anchors, unclear = keep_counted(
         rows.select(
             *df.columns,
             "_side",
@@ -170,10 +170,11 @@ def first_outcome(
             F.coalesce(unsettled, F.lit(False)).alias("_unsettled"),
         ),
         "anchors",
+        F.col("_unsettled"),
     )
     settled = anchors.filter(~F.col("_unsettled")).drop("_side", "_unsettled")
     rest = anchors.filter("_unsettled").drop("end", "hit", "_unsettled")
-    if rest.isEmpty():
+    if unclear == 0:
         return settled
     events = df.withColumns({"_side": side, "_success": success, "_stop": stop})
     return settled.unionByName(

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from pressure.config import LIMITS, Limits
 from pressure.sources.schemas import RAW_COLUMNS, RAW_SCHEMA
-from pressure.sources.scratch import keep
+from pressure.sources.scratch import keep, keep_counted
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
@@ -35,17 +35,23 @@ def with_file_order(
 ) -> DataFrame:
     """Numbers the rows of a file scan 1, 2, 3 ... in file order, several files by path.
 
-    A file is read in blocks, each by one task from top to bottom. The rows per block are
-    counted once; a row's number is the rows of all earlier blocks plus its place in its own.
-    Only the block table (one row per 128 MB or so) is ever sorted.
+    A file is read in blocks, each by one task from top to bottom. The rows are written with
+    their block and place as they are read, because a second read could cut other blocks (the
+    cut depends on how many executors there are). A row's number is the rows of all earlier
+    blocks plus its place in its own. Only the table of blocks, one row per 128 MB or so, is
+    ever sorted.
     """
-    place = F.monotonically_increasing_id()
-    block = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start")]
-    blocks = keep(
-        df.select(*block, place.alias("_place"))
-        .groupBy("_path", "_start")
-        .agg(F.count("*").alias("_rows"), F.min("_place").alias("_first")),
-        "blocks",
+    rows = keep(
+        df.select(
+            *columns,
+            F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_place"),
+        ),
+        "file-rows",
+    )
+    blocks, count = keep_counted(
+        rows.groupBy("_path", "_start").agg(F.count("*").alias("_rows"), F.min("_place").alias("_first")), "blocks"
     )
     earlier = Window.orderBy("_path", "_start").rowsBetween(Window.unboundedPreceding, -1)
     shift = blocks.select(
@@ -53,12 +59,10 @@ def with_file_order(
         "_start",
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    if blocks.count() <= limits.broadcast_rows:
+    if count <= limits.broadcast_rows:
         shift = F.broadcast(shift)
-    return (
-        df.select(*columns, *block, place.alias("_place"))
-        .join(shift, ["_path", "_start"])
-        .select((F.col("_place") + F.col("_shift")).alias(name), *columns)
+    return rows.join(shift, ["_path", "_start"]).select(
+        (F.col("_place") + F.col("_shift")).alias(name), *columns
     )
 
 

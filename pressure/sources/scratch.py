@@ -9,7 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,6 +32,14 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep_counted(df: DataFrame, label: str, condition: Column | None = None) -> tuple[DataFrame, int]:
+    """The same, with the number of rows (that meet a condition), counted while writing."""
+    seen = Observation()
+    count = F.count("*") if condition is None else F.count_if(condition)
+    kept = keep(df.observe(seen, count.alias("n")), label)
+    return kept, seen.get["n"]
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A folder name in the shared folder that nothing else uses."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
