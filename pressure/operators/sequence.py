@@ -25,9 +25,16 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def split_by_size(
-    df: DataFrame, by: Sequence[str], job: Callable[[DataFrame, int | None], DataFrame], limits: Limits = LIMITS
+    df: DataFrame,
+    by: Sequence[str],
+    order: str,
+    job: Callable[[DataFrame, str | None], DataFrame],
+    limits: Limits = LIMITS,
 ) -> DataFrame:
-    """Runs `job(rows, chunk)` with no chunk on ordinary groups and with one on the large groups."""
+    """Runs `job(rows, None)` on ordinary groups and `job(rows, run)` on the large ones.
+
+    `run` names a column that numbers the runs of order values a large group is cut into.
+    """
     sizes = df.groupBy(*by).agg(F.count("*").alias("_rows"))
     large, count = keep_counted(sizes.filter(F.col("_rows") > limits.group_rows).select(*by), "large-groups")
     if count == 0:
@@ -35,7 +42,8 @@ def split_by_size(
     # At most total rows / group_rows of these; Spark broadcasts them if their size allows.
     ordinary = df.join(large, _same(df, large, by), "left_anti")
     rest = df.join(large, _same(df, large, by), "left_semi")
-    return job(ordinary, None).unionByName(job(rest, limits.chunk_rows))
+    runs = rest.withColumn("_run", F.expr(f"`{order}` DIV {limits.chunk_rows}"))
+    return job(ordinary, None).unionByName(job(runs, "_run").drop("_run"))
 
 
 def scan(
@@ -43,31 +51,38 @@ def scan(
     by: Sequence[str],
     order: str,
     aggregates: Aggregates,
-    chunk: int | None,
+    run: str | None,
     after: bool = False,
     own_row: bool = False,
 ) -> DataFrame:
-    """Adds each `name: (F.min or F.max, value)` over the rows before (or `after`) this one."""
+    """Adds each `name: (F.min or F.max, value)` over the rows before (or `after`) this one.
+
+    With `run`, rows are scanned run by run, and what the earlier runs hold is looked up from
+    a table with one row per run.
+    """
     last = Window.currentRow if own_row else -1
 
     def window(keys: Sequence[str], sort: str, upto: int) -> Window:
         direction = F.desc(sort) if after else F.asc(sort)
         return Window.partitionBy(*keys).orderBy(direction).rowsBetween(Window.unboundedPreceding, upto)
 
-    if chunk is None:
-        rows = window(by, order, last)
-        return df.withColumns({name: agg(value).over(rows) for name, (agg, value) in aggregates.items()})
-
-    keys = [*by, "_run"]
-    runs = df.withColumn("_run", F.floor(F.col(order) / F.lit(chunk)))
+    keys = [*by, run] if run else list(by)
     inside = window(keys, order, last)
-    scanned = runs.withColumns({name: agg(value).over(inside) for name, (agg, value) in aggregates.items()})
-    totals = runs.groupBy(*keys).agg(*[agg(value).alias(name) for name, (agg, value) in aggregates.items()])
-    earlier = window(by, "_run", -1)
+    scanned = df.withColumns({name: agg(value).over(inside) for name, (agg, value) in aggregates.items()})
+    if run is None:
+        return scanned
+
+    # Written, so that scans built on this one do not work the totals out again.
+    totals, count = keep_counted(
+        df.groupBy(*keys).agg(*[agg(value).alias(name) for name, (agg, value) in aggregates.items()]), "runs"
+    )
+    earlier = window(by, run, -1)
     carried = totals.select(
         *[F.col(k).alias(f"_key_{k}") for k in keys],
         *[agg(F.col(name)).over(earlier).alias(f"_carried_{name}") for name, (agg, _) in aggregates.items()],
     )
+    if count <= LIMITS.broadcast_rows:
+        carried = F.broadcast(carried)
     match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
     pick = {F.min: F.least, F.max: F.greatest}
     return (
@@ -75,16 +90,16 @@ def scan(
         .withColumns(
             {name: pick[agg](F.col(name), F.col(f"_carried_{name}")) for name, (agg, _) in aggregates.items()}
         )
-        .drop("_run", *carried.columns)
+        .drop(*carried.columns)
     )
 
 
 def previous_row(
-    df: DataFrame, by: Sequence[str], order: str, columns: Sequence[str], chunk: int | None, name: str = "previous"
+    df: DataFrame, by: Sequence[str], order: str, columns: Sequence[str], run: str | None, name: str = "previous"
 ) -> DataFrame:
     """Adds `name`, a struct of `columns` of the row just before this one in its group."""
     value = F.struct(F.col(order).alias("_at"), *columns)
-    return scan(df, by, order, {name: (F.max, value)}, chunk)
+    return scan(df, by, order, {name: (F.max, value)}, run)
 
 
 def first_outcome(
@@ -98,7 +113,7 @@ def first_outcome(
     stop: Column,
     horizon: int,
     payload: Sequence[str],
-    chunk: int | None,
+    run: str | None,
 ) -> DataFrame:
     """For every anchor row: what came first among the later rows of its group?
 
@@ -129,7 +144,7 @@ def first_outcome(
         by,
         order,
         {"_next": (F.min, F.when(seen, found)), "_low": (F.min, F.when(seen, F.col(time)))},
-        chunk,
+        run,
         after=True,
     )
     # `_next` follows this row directly, so `_low` is the smallest time from it onwards.
@@ -143,7 +158,7 @@ def first_outcome(
             "_close": (F.min, F.when(seen & turns, following)),
             "_hit": (F.min, F.when(seen & F.col("_next._success"), following)),
         },
-        chunk,
+        run,
         after=True,
         own_row=True,
     ).filter("_anchor")
@@ -176,9 +191,12 @@ def first_outcome(
     rest = anchors.filter("_unsettled").drop("end", "hit", "_unsettled")
     if unclear == 0:
         return settled
-    events = df.withColumns({"_side": side, "_success": success, "_stop": stop})
+    false = F.lit(False)
+    events = df.withColumns(
+        {"_side": side, "_success": F.coalesce(success, false), "_stop": F.coalesce(stop, false)}
+    )
     return settled.unionByName(
-        _search(rest, events, by, order, time, horizon, payload, chunk).select(*settled.columns)
+        _search(rest, events, by, order, time, horizon, payload, run).select(*settled.columns)
     )
 
 
@@ -190,102 +208,102 @@ def _search(
     time: str,
     horizon: int,
     payload: Sequence[str],
-    chunk: int | None,
+    run: str | None,
 ) -> DataFrame:
     """Exact `end` and `hit` when times may run backwards, for few or many anchors.
 
     "Time at most t" is split into blocks of 1, 2, 4 ... time units, one per set bit of t + 1.
     Each event joins the block that holds it at every size, each anchor asks the blocks that
     make up its limit, and inside a block only the order matters: the next event after the
-    anchor is found by one window. Rows grow by the logarithm of the time span, not by pairs.
+    anchor, and the next of another side, are found by windows. Rows grow by the logarithm of
+    the time span, not by pairs.
     """
-    asked = anchors.withColumn("_limit", (F.col(time) + F.lit(horizon)).cast("long"))
-    spans = asked.groupBy(*by).agg(F.min("_limit").alias("_from"), F.max("_limit").alias("_to"))
-    near = events.join(spans, list(by)).filter(F.col(time) <= F.col("_to"))
-
-    stop_lane = F.struct(F.lit("stop").alias("kind"), F.lit(None).cast(_type(anchors, "_side")).alias("side"))
-
-    def lane(kind: str, side: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), side.alias("side"))
-
-    mine = F.col("_side").isNotNull()
+    runs = [run] if run else []
+    side, mine = F.col("_side"), F.col("_side").isNotNull()
+    spans = (
+        anchors.groupBy(*by)
+        .agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
+        .select(
+            *by,
+            (F.col("_first") + F.lit(horizon)).cast("long").alias("_from"),
+            (F.col("_last") + F.lit(horizon)).cast("long").alias("_to"),
+        )
+    )
+    fields = [order, time, *payload]
+    any_lane, stop_lane, hit_lane = (
+        F.struct(F.lit(kind).alias("kind"), F.when(F.lit(kind == "hit"), side).alias("of"))
+        for kind in ("any", "stop", "hit")
+    )
     event_lanes = F.array(
+        F.when(mine | F.col("_stop"), any_lane),
         F.when(F.col("_stop"), stop_lane),
-        F.when(mine, lane("side", F.col("_side"))),
-        F.when(mine & F.col("_success"), lane("hit", F.col("_side"))),
+        F.when(mine & F.col("_success"), hit_lane),
     )
     event_rows = (
-        near.withColumn("_at", F.greatest(F.col(time).cast("long"), F.col("_from")) - F.col("_from"))
-        .withColumn("lane", F.explode(F.array_compact(event_lanes)))
+        events.join(spans, list(by))
+        .filter(F.col(time) <= F.col("_to"))
+        .withColumn("_at", F.greatest(F.col(time).cast("long"), F.col("_from")) - F.col("_from"))
+        .withColumn("_lane", F.explode(F.array_compact(event_lanes)))
         .withColumn(
-            "level",
+            "_level",
             F.explode(
                 F.expr("filter(sequence(0, length(bin(_to - _from + 1)) - 1), l -> shiftright(_at, l) % 2 = 0)")
             ),
         )
         .select(
             *by,
-            "lane",
-            "level",
-            F.expr("shiftright(_at, level)").alias("block"),
+            *runs,
+            "_lane",
+            "_level",
+            F.expr("shiftright(_at, _level)").alias("_block"),
             (F.col(order) * 2).alias("_place"),
-            F.struct(order, time, *payload).alias("_found"),
+            "_side",
+            F.struct(*fields, "_side", "_stop").alias("_found"),
             F.lit(None).cast("long").alias("_asker"),
         )
     )
-
-    sides = near.filter(mine).select(*by, F.col("_side").alias("_other")).distinct()
-    others = (
-        asked.join(sides, list(by))
-        .filter(F.col("_other") != F.col("_side"))
-        .select(*by, order, "_limit", lane("side", F.col("_other")).alias("lane"))
-    )
-    own = asked.select(
-        *by,
-        order,
-        "_limit",
-        F.explode(F.array_compact(F.array(stop_lane, F.when(mine, lane("hit", F.col("_side")))))).alias("lane"),
-    )
+    ask_lanes = F.when(mine, F.array(any_lane, hit_lane)).otherwise(F.array(stop_lane))
     ask_rows = (
-        others.unionByName(own)
-        .join(spans.select(*by, "_from"), list(by))
-        .withColumn("_upto", F.col("_limit") - F.col("_from") + 1)
+        anchors.join(spans, list(by))
+        .withColumn("_upto", (F.col(time) + F.lit(horizon)).cast("long") - F.col("_from") + 1)
+        .withColumn("_lane", F.explode(ask_lanes))
         .withColumn(
-            "level",
+            "_level",
             F.explode(F.expr("filter(sequence(0, length(bin(_upto)) - 1), l -> shiftright(_upto, l) % 2 = 1)")),
         )
         .select(
             *by,
-            "lane",
-            "level",
-            F.expr("shiftright(_upto, level) - 1").alias("block"),
+            *runs,
+            "_lane",
+            "_level",
+            F.expr("shiftright(_upto, _level) - 1").alias("_block"),
             # An anchor sits just above its own event, so it sees later events only.
             (F.col(order) * 2 + 1).alias("_place"),
+            "_side",
             F.lit(None).cast(event_rows.schema["_found"].dataType).alias("_found"),
             F.col(order).cast("long").alias("_asker"),
         )
     )
+    block = [*by, "_lane", "_level", "_block"]
+    rows = scan(
+        event_rows.unionByName(ask_rows), block, "_place", {"_next": (F.min, F.col("_found"))}, run, after=True
+    )
+    closes = F.coalesce(F.col("_next._stop") | (F.col("_next._side") != side), F.lit(False))
+    turn = F.when(F.col("_asker").isNull() & closes, F.col("_next"))
+    rows = scan(rows, block, "_place", {"_turn": (F.min, turn)}, run, after=True, own_row=True)
+    answer = F.when((F.col("_lane.kind") == "any") & ~closes, F.col("_turn")).otherwise(F.col("_next"))
+    is_hit = F.col("_lane.kind") == "hit"
     answers = (
-        scan(
-            event_rows.unionByName(ask_rows),
-            [*by, "lane", "level", "block"],
-            "_place",
-            {"_first": (F.min, F.col("_found"))},
-            None if chunk is None else 2 * chunk,
-            after=True,
-        )
-        .filter(F.col("_asker").isNotNull())
+        rows.filter(F.col("_asker").isNotNull())
+        .withColumn("_answer", answer)
+        .withColumn("_answer", F.when(F.col("_answer").isNotNull(), F.struct(*[f"_answer.{c}" for c in fields])))
         .groupBy("_asker")
         .agg(
-            F.min(F.when(F.col("lane.kind") != "hit", F.col("_first"))).alias("end"),
-            F.min(F.when(F.col("lane.kind") == "hit", F.col("_first"))).alias("_hit"),
+            F.min(F.when(~is_hit, F.col("_answer"))).alias("end"),
+            F.min(F.when(is_hit, F.col("_answer"))).alias("_hit"),
         )
     )
     before_end = F.col("end").isNull() | (F.col(f"_hit.{order}") < F.col(f"end.{order}"))
     return anchors.join(answers, anchors[order] == answers["_asker"], "left").withColumn(
         "hit", F.when(before_end, F.col("_hit"))
     )
-
-
-def _type(df: DataFrame, column: str):
-    return df.schema[column].dataType

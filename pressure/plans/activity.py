@@ -19,10 +19,10 @@ def timed(events: DataFrame) -> DataFrame:
 def previous_event(events: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Every event with the type of the user's event before it and the time between them."""
 
-    def job(rows: DataFrame, chunk: int | None) -> DataFrame:
-        return previous_row(rows, ["user_id"], "event_id", ["event_type", "at"], chunk)
+    def job(rows: DataFrame, run: str | None) -> DataFrame:
+        return previous_row(rows, ["user_id"], "event_id", ["event_type", "at"], run)
 
-    return split_by_size(timed(events), ["user_id"], job, limits).select(
+    return split_by_size(timed(events), ["user_id"], "event_id", job, limits).select(
         "event_id",
         "user_id",
         "event_type",
@@ -34,7 +34,7 @@ def previous_event(events: DataFrame, limits: Limits = LIMITS) -> DataFrame:
 def click_outcomes(events: DataFrame, horizon: int = DAY_MICROS, limits: Limits = LIMITS) -> DataFrame:
     """After each click: did the same user buy within the horizon, before running into an error?"""
 
-    def job(rows: DataFrame, chunk: int | None) -> DataFrame:
+    def job(rows: DataFrame, run: str | None) -> DataFrame:
         return first_outcome(
             rows,
             by=["user_id"],
@@ -46,10 +46,10 @@ def click_outcomes(events: DataFrame, horizon: int = DAY_MICROS, limits: Limits
             stop=F.col("event_type") == "error",
             horizon=horizon,
             payload=["event_type", "value"],
-            chunk=chunk,
+            run=run,
         )
 
-    return split_by_size(timed(events), ["user_id"], job, limits).select(
+    return split_by_size(timed(events), ["user_id"], "event_id", job, limits).select(
         "event_id",
         "user_id",
         F.col("end.event_id").alias("error_event_id"),

@@ -14,7 +14,7 @@ from pressure.plans.facts import fact_events
 from pressure.plans.marts import WinTables, win_counts
 from pressure.plans.wins import fact_puck_wins
 from pressure.sources.csv_log import ingest_events
-from pressure.sources.scratch import keep
+from pressure.sources.scratch import keep, mark, release
 from pressure.sources.tables import create_layers, dense_ids, missing, replace_table
 
 Save = Callable[[DataFrame, str], DataFrame]
@@ -89,10 +89,13 @@ def load_sources(
 def build_all(
     spark: SparkSession, csv_path: str, root: str | None = None, rules: Rules = RULES, limits: Limits = LIMITS
 ) -> Layers:
-    """CSV -> catalog tables, replacing what was there."""
+    """CSV -> catalog tables, replacing what was there; intermediate tables are deleted."""
     create_layers(spark)
+    start = mark()
     raw = load_sources(spark, {csv_path: STAGED}, root, limits)[STAGED]
-    return build_layers(raw, lambda df, name: replace_table(df, name, root), rules, limits)
+    built = build_layers(raw, lambda df, name: replace_table(df, name, root), rules, limits)
+    release(spark, start)
+    return built
 
 
 def open_layers(spark: SparkSession) -> Layers:

@@ -12,9 +12,9 @@ from pressure.sources.schemas import FACT_WIN_COLUMNS, WIN_COLUMNS
 _PREVIOUS = ("event", "event_team_key", "detail_1", "period")
 
 
-def with_previous(facts: DataFrame, chunk: int | None) -> DataFrame:
+def with_previous(facts: DataFrame, run: str | None) -> DataFrame:
     """The event just before, in any zone and any period of the same game."""
-    return previous_row(facts, ["game_key"], "event_id", _PREVIOUS, chunk).select(
+    return previous_row(facts, ["game_key"], "event_id", _PREVIOUS, run).select(
         "*",
         *[F.col(f"previous.{c}").alias(f"previous_{c}") for c in _PREVIOUS],
     ).drop("previous")
@@ -41,7 +41,7 @@ def is_win(rules: Rules = RULES) -> Column:
 
 
 def events_lagged(facts: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    return split_by_size(facts, ["game_key"], with_previous, limits)
+    return split_by_size(facts, ["game_key"], "event_id", with_previous, limits)
 
 
 def wins_typed(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMITS) -> DataFrame:
@@ -53,8 +53,8 @@ def wins_typed(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMITS)
 def win_outcomes(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMITS) -> DataFrame:
     """Wins with their type, the event that closed the window (`end`) and the credited shot (`hit`)."""
 
-    def job(rows: DataFrame, chunk: int | None) -> DataFrame:
-        lagged = with_previous(rows, chunk).withColumn("win_type", F.when(is_win(rules), win_type()))
+    def job(rows: DataFrame, run: str | None) -> DataFrame:
+        lagged = with_previous(rows, run).withColumn("win_type", F.when(is_win(rules), win_type()))
         return first_outcome(
             lagged,
             by=["game_key", "period"],
@@ -66,7 +66,7 @@ def win_outcomes(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMITS
             stop=F.col("event").isin(*rules.stoppage_events),
             horizon=rules.window_seconds,
             payload=["event", "x_coord", "y_coord", "detail_1", "detail_2"],
-            chunk=chunk,
+            run=run,
         )
 
     used = [
@@ -74,7 +74,7 @@ def win_outcomes(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMITS
         "opponent_team_key", "event_player_key", "x_coord", "y_coord", "detail_1", "detail_2",
         "strength_state", "skater_state",
     ]
-    return split_by_size(facts.select(*used), ["game_key"], job, limits)
+    return split_by_size(facts.select(*used), ["game_key"], "event_id", job, limits)
 
 
 def fact_puck_wins(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMITS) -> DataFrame:
@@ -116,10 +116,10 @@ def first_own_shot(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMI
 def _first_in_window(facts: DataFrame, by: list[str], wanted: Column, rules: Rules, limits: Limits) -> DataFrame:
     rows = facts.select("game_key", "period", "event_team_key", "event_id", "game_seconds", "event", "zone", "is_shot")
 
-    def job(part: DataFrame, chunk: int | None) -> DataFrame:
+    def job(part: DataFrame, run: str | None) -> DataFrame:
         return first_outcome(
             part, by, "event_id", "game_seconds", F.lit(0), is_win(rules), wanted, F.lit(False),
-            rules.window_seconds, ["event", "event_team_key"], chunk,
+            rules.window_seconds, ["event", "event_team_key"], run,
         )
 
-    return split_by_size(rows, ["game_key"], job, limits)
+    return split_by_size(rows, ["game_key"], "event_id", job, limits)

@@ -24,10 +24,14 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_WRITTEN: list[str] = []
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Write the rows once and read them back."""
     spark = df.sparkSession
     path = new_folder(spark, label)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -45,9 +49,25 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def mark() -> int:
+    """A point to go back to with `release`."""
+    return len(_WRITTEN)
+
+
+def release(spark: SparkSession, since: int) -> None:
+    """Deletes the tables kept since `mark`; only for when nothing reads them any more."""
+    for path in _WRITTEN[since:]:
+        system, where = _files(spark, path)
+        system.delete(where, True)
+    del _WRITTEN[since:]
+
+
+def _files(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def file_state(spark: SparkSession, path: str) -> tuple:
     """Path, size and last change of the files under a path."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system, where = _files(spark, path)
     return (path, *[(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in system.listStatus(where)])

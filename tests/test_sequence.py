@@ -49,13 +49,13 @@ def by_hand(rows: list[tuple], horizon: int) -> dict[int, tuple]:
 def run(spark, rows, horizon, limits):
     df = spark.createDataFrame(rows, SCHEMA)
 
-    def job(part, chunk):
+    def job(part, run):
         return first_outcome(
             part, ["g"], "id", "t", F.col("side"), F.col("kind") == "win", F.col("kind") == "shot",
-            F.col("kind") == "stop", horizon, ["kind"], chunk,
+            F.col("kind") == "stop", horizon, ["kind"], run,
         )
 
-    return {r["id"]: (r["end"] and r["end"]["id"], r["hit"] and r["hit"]["id"]) for r in split_by_size(df, ["g"], job, limits).collect()}
+    return {r["id"]: (r["end"] and r["end"]["id"], r["hit"] and r["hit"]["id"]) for r in split_by_size(df, ["g"], "id", job, limits).collect()}
 
 
 @pytest.mark.parametrize("limits", [Limits(), Limits(group_rows=20, chunk_rows=16)], ids=["whole", "cut"])
@@ -80,7 +80,7 @@ def test_first_outcome(spark, limits, jitter, sides):
 def test_previous_row(spark, limits):
     rows = make(5, 300, 30, ["a", None], 4)
     df = spark.createDataFrame(rows, SCHEMA)
-    got = split_by_size(df, ["g"], lambda d, c: previous_row(d, ["g"], "id", ["side", "kind"], c), limits)
+    got = split_by_size(df, ["g"], "id", lambda d, c: previous_row(d, ["g"], "id", ["side", "kind"], c), limits)
     seen, want = {}, {}
     for g, i, _, side, kind in rows:
         want[i] = seen.get(g)
@@ -92,12 +92,12 @@ def test_only_the_large_group_is_cut(spark):
     df = spark.range(100).selectExpr("IF(id < 90, 'big', CAST(id AS STRING)) AS g", "id")
     parts = {}
 
-    def job(part, chunk):
-        parts[chunk] = sorted({r["g"] for r in part.select("g").distinct().collect()})
+    def job(part, run):
+        parts[run] = sorted({r["g"] for r in part.select("g").distinct().collect()})
         return part
 
-    assert split_by_size(df, ["g"], job, Limits(group_rows=50, chunk_rows=10)).count() == 100
-    assert parts[10] == ["big"] and len(parts[None]) == 10
+    assert split_by_size(df, ["g"], "id", job, Limits(group_rows=50, chunk_rows=10)).count() == 100
+    assert parts["_run"] == ["big"] and len(parts[None]) == 10
 
 
 def test_no_join_and_one_shuffle_for_ordinary_groups(spark):
