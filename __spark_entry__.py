@@ -214,7 +214,7 @@ def queries() -> dict[str, Query]:
         "end_reason_team": _on_wins(marts.end_reasons, team="North"),
         "end_reason_shares": _on_wins(marts.end_reason_shares),
         "headline_rate": _on_layers(lambda t: marts.headline(t.win_tables)),
-        "top_low_volume_player": _on_layers(lambda t: marts.lowest_volume_player(t.win_tables, below=400)),
+        "top_low_volume_player": _on_layers(lambda t: marts.lowest_volume_player(t.win_tables, below=1000)),
         "dq_report_tables": _on_layers(checks.table_checks),
         "dq_report_marts": _on_layers(_report_checks),
         "profile_shape": _on_raw(P.shape),

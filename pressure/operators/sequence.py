@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressure.config import LIMITS, Limits
-from pressure.sources.scratch import keep_counted
+from pressure.sources.scratch import keep, keep_counted
 
 Aggregates = dict[str, tuple[Callable[[Column], Column], Column]]
 
@@ -36,10 +36,11 @@ def split_by_size(
     `run` names a column that numbers the runs of order values a large group is cut into.
     """
     sizes = df.groupBy(*by).agg(F.count("*").alias("_rows"))
-    large, count = keep_counted(sizes.filter(F.col("_rows") > limits.group_rows).select(*by), "large-groups")
-    if count == 0:
+    large = sizes.filter(F.col("_rows") > limits.group_rows).select(*by)
+    if large.isEmpty():
         return job(df, None)
     # At most total rows / group_rows of these; Spark broadcasts them if their size allows.
+    large = keep(large, "large-groups")
     ordinary = df.join(large, _same(df, large, by), "left_anti")
     rest = df.join(large, _same(df, large, by), "left_semi")
     runs = rest.withColumn("_run", F.expr(f"`{order}` DIV {limits.chunk_rows}"))
@@ -174,7 +175,7 @@ def first_outcome(
 
     def shown(value: Column, condition: Column) -> Column:
         fields = F.struct(*[value[c].alias(c) for c in [order, time, *payload]])
-        return F.when(seen & condition, fields)
+        return F.when(seen & F.col("_side").isNotNull() & condition, fields)
 
     anchors, unclear = keep_counted(
         rows.select(
@@ -188,9 +189,9 @@ def first_outcome(
         F.col("_unsettled"),
     )
     settled = anchors.filter(~F.col("_unsettled")).drop("_side", "_unsettled")
-    rest = anchors.filter("_unsettled").drop("end", "hit", "_unsettled")
     if unclear == 0:
         return settled
+    rest = anchors.filter("_unsettled").drop("_unsettled")
     false = F.lit(False)
     events = df.withColumns(
         {"_side": side, "_success": F.coalesce(success, false), "_stop": F.coalesce(stop, false)}
@@ -210,7 +211,11 @@ def _search(
     payload: Sequence[str],
     run: str | None,
 ) -> DataFrame:
-    """Exact `end` and `hit` when times may run backwards, for few or many anchors.
+    """Exact `end` and `hit` when times run backwards, for few or many anchors.
+
+    What the two window passes found inside the limit stands. If their candidate lay beyond it,
+    the true answer comes later in the log at an earlier time, so only such late events are
+    searched (and the stops, for anchors without a side, which the passes left out).
 
     "Time at most t" is split into blocks of 1, 2, 4 ... time units, one per set bit of t + 1.
     Each event joins the block that holds it at every size, each anchor asks the blocks that
@@ -222,9 +227,10 @@ def _search(
     side, mine = F.col("_side"), F.col("_side").isNotNull()
     spans = (
         anchors.groupBy(*by)
-        .agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
+        .agg(F.min(time).alias("_first"), F.max(time).alias("_last"), F.max(side.isNull()).alias("_blind"))
         .select(
             *by,
+            "_blind",
             (F.col("_first") + F.lit(horizon)).cast("long").alias("_from"),
             (F.col("_last") + F.lit(horizon)).cast("long").alias("_to"),
         )
@@ -239,9 +245,10 @@ def _search(
         F.when(F.col("_stop"), stop_lane),
         F.when(mine & F.col("_success"), hit_lane),
     )
+    near = scan(events.join(spans, list(by)), by, order, {"_latest": (F.max, F.col(time))}, run)
+    late = (F.col(time) < F.col("_latest")) | (F.col("_stop") & F.col("_blind"))
     event_rows = (
-        events.join(spans, list(by))
-        .filter(F.col(time) <= F.col("_to"))
+        near.filter(late & (F.col(time) <= F.col("_to")))
         .withColumn("_at", F.greatest(F.col(time).cast("long"), F.col("_from")) - F.col("_from"))
         .withColumn("_lane", F.explode(F.array_compact(event_lanes)))
         .withColumn(
@@ -299,11 +306,12 @@ def _search(
         .withColumn("_answer", F.when(F.col("_answer").isNotNull(), F.struct(*[f"_answer.{c}" for c in fields])))
         .groupBy("_asker")
         .agg(
-            F.min(F.when(~is_hit, F.col("_answer"))).alias("end"),
+            F.min(F.when(~is_hit, F.col("_answer"))).alias("_end"),
             F.min(F.when(is_hit, F.col("_answer"))).alias("_hit"),
         )
     )
-    before_end = F.col("end").isNull() | (F.col(f"_hit.{order}") < F.col(f"end.{order}"))
-    return anchors.join(answers, anchors[order] == answers["_asker"], "left").withColumn(
-        "hit", F.when(before_end, F.col("_hit"))
+    both = anchors.join(answers, anchors[order] == answers["_asker"], "left").withColumns(
+        {"end": F.coalesce("end", "_end"), "hit": F.coalesce("hit", "_hit")}
     )
+    before_end = F.col("end").isNull() | (F.col(f"hit.{order}") < F.col(f"end.{order}"))
+    return both.withColumn("hit", F.when(before_end, F.col("hit")))
