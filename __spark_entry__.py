@@ -14,7 +14,7 @@ from pressure.operators import profile as P
 from pressure.operators.dedup import extra_copies
 from pressure.plans import activity, checks, clean, dims, marts, wins
 from pressure.plans.build import Layers, build_scratch
-from pressure.plans.profiling import COORDINATES, NUMERIC
+from pressure.plans.profiling import COORDINATES
 from pressure.sources.csv_log import ingest_events
 from pressure.sources.event_log import raw_log
 from pressure.sources.scratch import file_state, new_folder
@@ -220,8 +220,8 @@ def queries() -> dict[str, Query]:
         "profile_shape": _on_raw(P.shape),
         "profile_nulls": _on_raw(P.nulls),
         "profile_duplicates": _on_raw(lambda raw: extra_copies(raw, "event_id")),
-        "profile_describe": _on_raw(lambda raw: _rounded(P.describe(raw, NUMERIC))),
-        "profile_describe_ranges": _on_raw(lambda raw: _rounded(P.describe(raw, NUMERIC, SMALL))),
+        "profile_describe": _on_raw(lambda raw: _rounded(P.describe(raw, _numbers(raw)))),
+        "profile_describe_ranges": _on_raw(lambda raw: _rounded(P.describe(raw, _numbers(raw), SMALL))),
         "profile_value_counts": _on_raw(lambda raw: P.value_counts(raw, "Event")),
         "profile_extent": _on_raw(lambda raw: P.extent(raw, COORDINATES)),
         "profile_distinct": _on_raw(lambda raw: P.distinct_values(raw, "Player 2")),
@@ -234,6 +234,11 @@ def queries() -> dict[str, Query]:
     }
 
 
+def _numbers(raw: DataFrame) -> list[str]:
+    """The numeric columns of the file; the row id is not one of them."""
+    return [c for c in P.numeric_columns(raw) if c != "event_id"]
+
+
 def _rounded(described: DataFrame) -> DataFrame:
     """Engines add in different orders, so the deviation agrees to 6 places, not to the last bit."""
     return described.withColumn("std", F.round("std", 6))

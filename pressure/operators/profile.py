@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pressure.config import LIMITS, Limits
 from pressure.operators.ordering import running_total
@@ -26,6 +27,10 @@ def column_types(df: DataFrame) -> list[tuple[str, str]]:
     return df.dtypes
 
 
+def numeric_columns(df: DataFrame) -> list[str]:
+    return [field.name for field in df.schema.fields if isinstance(field.dataType, T.NumericType)]
+
+
 def nulls(df: DataFrame) -> DataFrame:
     """Type, known values and unknown values of every column, in one scan."""
     counted = df.agg(

@@ -9,17 +9,14 @@ from pyspark.sql import functions as F
 
 from pressure.operators import profile as P
 from pressure.operators.dedup import extra_copies
-from pressure.sources.csv_log import read_csv, read_csv_by_file
+from pressure.sources.csv_log import read_csv, read_csv_by_file, with_file_order
 
-NUMERIC = [
-    "Period", "Home Team Skaters", "Away Team Skaters", "Home Team Goals", "Away Team Goals",
-    "X Coordinate", "Y Coordinate", "X Coordinate 2", "Y Coordinate 2",
-]
 COORDINATES = ["X Coordinate", "Y Coordinate"]
 
 
 @dataclass(frozen=True)
 class Profile:
+    columns: list[tuple[str, str]]
     shape: DataFrame
     nulls: DataFrame
     duplicates: DataFrame
@@ -27,19 +24,28 @@ class Profile:
     events: DataFrame
 
 
-def profile_file(spark: SparkSession, path: str) -> Profile:
-    """Size, gaps, repeated rows, number summaries and event names of one CSV source."""
-    df = read_csv(spark, path)
+def profile_table(df: DataFrame) -> Profile:
+    """Size, gaps, repeated rows, number summaries and event names of raw rows."""
     return Profile(
-        P.shape(df), P.nulls(df), extra_copies(df), P.describe(df, NUMERIC), P.distinct_values(df, "Event")
+        P.column_types(df),
+        P.shape(df),
+        P.nulls(df),
+        extra_copies(df),
+        P.describe(df, P.numeric_columns(df)),
+        P.distinct_values(df, "Event"),
     )
 
 
-def profile_folder(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Rows, event counts and coordinate extents per file of a folder, all files in one scan each."""
-    df = read_csv_by_file(spark, path)
+def profile_file(spark: SparkSession, path: str) -> Profile:
+    return profile_table(read_csv(spark, path))
+
+
+def profile_folder(spark: SparkSession, path: str, first: int = 3) -> dict[str, DataFrame]:
+    """Rows, event counts, coordinate extents and first clocks per file; the files are read once."""
+    df = with_file_order(read_csv_by_file(spark, path))
+    rows = df.groupBy("file_name").agg(F.count("*").alias("rows"), F.min("event_id").alias("_start"))
     return {
-        "rows": df.groupBy("file_name").agg(F.count("*").alias("rows")),
+        "rows": rows.select("file_name", "rows"),
         "events": df.filter(F.col("Event").isNotNull())
         .groupBy("file_name", "Event")
         .agg(F.count("*").alias("n"))
@@ -47,4 +53,10 @@ def profile_folder(spark: SparkSession, path: str) -> dict[str, DataFrame]:
         "extent": df.groupBy("file_name").agg(
             *[agg(c).alias(f"{c} {n}") for c in COORDINATES for n, agg in (("min", F.min), ("max", F.max))]
         ),
+        # One start per file, matched by id: no file is sorted for its first rows.
+        "clocks": rows.select(F.explode(F.sequence("_start", F.col("_start") + first - 1)).alias("event_id"), F.col("file_name").alias("_file"))
+        .join(df.select("event_id", "file_name", "Clock"), "event_id")
+        .filter(F.col("_file") == F.col("file_name"))
+        .select("file_name", "event_id", "Clock")
+        .orderBy("event_id"),
     }

@@ -7,32 +7,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pressure.config import LIMITS, Limits
-from pressure.sources.schemas import RAW_COLUMNS, RAW_SCHEMA
+from pressure.sources.schemas import RAW_SCHEMA
 from pressure.sources.scratch import keep, keep_counted
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
-    """One file, a folder or a glob, with a header that must name the columns of the schema.
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, multi_line: bool = False
+) -> DataFrame:
+    """One file, a folder or a glob, with a header. Types are stated by name, never guessed.
 
-    Types are stated, never guessed, and a malformed line is an error rather than a null.
+    Columns may come in any order, the same in every file; columns the schema does not name are
+    kept as text. A wrong header or a malformed value is an error, not a null. `multi_line`
+    allows line breaks inside quotes, at the price of one task per file.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    header = spark.read.options(**options).csv(path).columns
+    absent = [name for name in schema.fieldNames() if name not in header]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    known = {field.name: field for field in schema.fields}
+    layout = T.StructType([known.get(name, T.StructField(name, T.StringType())) for name in header])
+    return spark.read.schema(layout).options(**options, enforceSchema=False, mode="FAILFAST").csv(path)
 
 
 def read_csv_by_file(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """The rows with the name of the file each came from."""
-    return read_csv(spark, path, schema).select("*", F.col("_metadata.file_name").alias("file_name"))
+    df = read_csv(spark, path, schema)
+    return df.withColumn("file_name", F.col("_metadata.file_name"))
 
 
-def with_file_order(
-    df: DataFrame, name: str = "event_id", columns: list[str] = RAW_COLUMNS, limits: Limits = LIMITS
-) -> DataFrame:
+def with_file_order(df: DataFrame, name: str = "event_id", limits: Limits = LIMITS) -> DataFrame:
     """Numbers the rows of a file scan 1, 2, 3 ... in file order, several files by path.
 
     A file is read in blocks, each by one task from top to bottom. The rows are written with
@@ -43,7 +47,7 @@ def with_file_order(
     """
     rows = keep(
         df.select(
-            *columns,
+            "*",
             F.col("_metadata.file_path").alias("_path"),
             F.col("_metadata.file_block_start").alias("_start"),
             F.monotonically_increasing_id().alias("_place"),
@@ -62,7 +66,7 @@ def with_file_order(
     if count <= limits.broadcast_rows:
         shift = F.broadcast(shift)
     return rows.join(shift, ["_path", "_start"]).select(
-        (F.col("_place") + F.col("_shift")).alias(name), *columns
+        (F.col("_place") + F.col("_shift")).alias(name), *[f"`{c}`" for c in df.columns]
     )
 
 

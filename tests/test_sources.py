@@ -48,16 +48,42 @@ def test_clock_stays_text(spark, folder):
     assert (types["Clock"], types["game_date"], types["X Coordinate"]) == ("string", "date", "double")
 
 
+def line(values: dict[str, str], names: list[str]) -> str:
+    return ",".join(values.get(name, "") for name in names) + "\n"
+
+
+def test_columns_are_found_by_name_and_others_kept(spark, tmp_path):
+    names = ["Extra", *reversed(RAW_COLUMNS)]
+    values = {"Event": '"Puck ""Recovery"""', "Period": "2", "Extra": "x", "X Coordinate": "12.5", "Clock": " 07:10"}
+    (tmp_path / "a.csv").write_text(",".join(names) + "\n" + line(values, names))
+    row = read_csv(spark, str(tmp_path / "a.csv")).first()
+    assert (row["Event"], row["Period"], row["Extra"]) == ('Puck "Recovery"', 2, "x")
+    assert (row["X Coordinate"], row["Clock"], row["Player"]) == (12.5, " 07:10", None)
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    names = list(RAW_COLUMNS)
+    (tmp_path / "a.csv").write_text(",".join(names) + "\n" + line({"Detail 1": '"two\nlines"'}, names))
+    assert read_csv(spark, str(tmp_path), multi_line=True).first()["Detail 1"] == "two\nlines"
+    with pytest.raises(Exception):
+        read_csv(spark, str(tmp_path)).collect()
+
+
 def test_wrong_header_or_value_is_an_error(spark, tmp_path):
     names = list(RAW_COLUMNS)
-    bad = tmp_path / "bad.csv"
-    bad.write_text(",".join(["Clock" if n == "Period" else n for n in names]) + "\n" + "," * 20 + "\n")
+    head = ",".join(names) + "\n"
+    (tmp_path / "short.csv").write_text(",".join(names[1:]) + "\n")
+    with pytest.raises(ValueError, match="game_date"):
+        read_csv(spark, str(tmp_path / "short.csv"))
+    (tmp_path / "value.csv").write_text(head + line({"Period": "first"}, names))
     with pytest.raises(Exception):
-        read_csv(spark, str(bad)).collect()
-    worse = tmp_path / "worse.csv"
-    worse.write_text(",".join(names) + "\n2020-01-01,a,b,first" + "," * 17 + "\n")
+        read_csv(spark, str(tmp_path / "value.csv")).collect()
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text(head + line({"Period": "1"}, names))
+    (folder / "b.csv").write_text(",".join(reversed(names)) + "\n" + line({"Period": "1"}, names))
     with pytest.raises(Exception):
-        read_csv(spark, str(worse)).collect()
+        read_csv(spark, str(folder)).collect()
 
 
 def test_build_writes_every_table_and_can_run_again(spark, folder, tmp_path):
@@ -90,7 +116,10 @@ def test_profile_reads_files_by_name(spark, folder):
     assert len(rows) == 3 and sum(rows.values()) == 10104
     assert sum(r["n"] for r in parts["events"].collect()) == 10104
     assert parts["extent"].columns[1:] == ["X Coordinate min", "X Coordinate max", "Y Coordinate min", "Y Coordinate max"]
+    clocks = parts["clocks"].collect()
+    assert [r["event_id"] for r in clocks][:4] == [1, 2, 3, rows[clocks[0]["file_name"]] + 1] and len(clocks) == 9
     whole = profile_file(spark, folder)
+    assert dict(whole.columns)["Clock"] == "string" and whole.describe.count() == 9
     assert tuple(whole.shape.first()) == (10104, 21)
     # Copies differ only in their id, and so do events that happen to be alike.
     assert whole.duplicates.first()["duplicates"] == 104
