@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pressure.config import Limits
+from pressure.operators import sequence
 from pressure.operators.sequence import first_outcome, previous_row, split_by_size
 
 SCHEMA = "g string, id long, t long, side string, kind string"
@@ -76,6 +77,13 @@ def test_first_outcome(spark, limits, jitter, sides):
     assert run(spark, rows, 6, limits) == by_hand(rows, 6)
 
 
+@pytest.mark.parametrize("jitter", [0, 40])
+def test_run_totals_too_many_to_broadcast(spark, monkeypatch, jitter):
+    monkeypatch.setattr(sequence, "LIMITS", Limits(broadcast_rows=0))
+    rows = make(3, 300, jitter, ["a", "b"], 4)
+    assert run(spark, rows, 6, Limits(group_rows=20, chunk_rows=16)) == by_hand(rows, 6)
+
+
 @pytest.mark.parametrize("limits", [Limits(), Limits(group_rows=20, chunk_rows=16)], ids=["whole", "cut"])
 def test_previous_row(spark, limits):
     rows = make(5, 300, 30, ["a", None], 4)
