@@ -73,10 +73,20 @@ def table_checks(layers: Layers, rules: Rules = RULES) -> DataFrame:
     )
 
 
-def rate_check(layers: Layers, expected: float) -> DataFrame:
-    """The headline shot rate against a known one."""
-    wins = M.headline(layers.win_tables)
-    return Q.rows_where(wins, {"headline shot rate": ~F.col("shot_rate").eqNullSafe(F.lit(expected))})
+def known_total_checks(layers: Layers, rows: dict[str, int], rate: float, totals: dict[str, int]) -> DataFrame:
+    """A load whose numbers are known: rows per table, the headline rate, and summary totals."""
+    tables = vars(layers)
+    summary = M.summary(layers.win_tables)
+    return Q.report(
+        [Q.expected_rows(f"rows of {name}", tables[name], n) for name, n in rows.items()]
+        + [
+            Q.rows_where(
+                M.headline(layers.win_tables),
+                {"headline shot rate": ~F.col("shot_rate").eqNullSafe(F.lit(rate))},
+            ),
+            Q.rows_where(summary, {f"summary {name}": F.col(name) != n for name, n in totals.items()}),
+        ]
+    )
 
 
 def _matches(filters: M.Filters) -> Column:

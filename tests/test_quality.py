@@ -55,6 +55,10 @@ def test_broken_tables_fail(spark, layers):
     assert got["one fact per clean event"] == layers.events.filter("event_id % 10 = 0").count()
 
 
-def test_rate_check(layers):
-    assert result(C.rate_check(layers, 0.125)) == (1, 0)
-    assert result(C.rate_check(layers, 0.408)) == (1, 1)
+def test_known_totals(layers):
+    rows = {"raw": 10104, "clean": 8750, "games": 35, "teams": 4, "players": 48, "events": 8750, "wins": 1188}
+    totals = {"wins": 1188, "recoveries": 1026, "takeaways": 162, "shots": 148, "goals": 37, "rebound_goals": 1}
+    good = C.known_total_checks(layers, rows, 0.125, totals).collect()
+    assert len(good) == 14 and all(r["violations"] == 0 for r in good)
+    bad = C.known_total_checks(layers, {"wins": 1180}, 0.408, {"shots": 1}).collect()
+    assert [r["violations"] for r in bad] == [8, 1, 1]
