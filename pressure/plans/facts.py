@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressure.config import RULES, Rules
@@ -10,10 +10,20 @@ from pressure.functions import expressions as X
 from pressure.sources.schemas import FACT_EVENT_COLUMNS
 
 
-def game_clock(period: str, elapsed: str, rules: Rules = RULES):
+def game_clock(period: str, elapsed: str, rules: Rules = RULES) -> Column:
     return (F.col(period) - 1) * rules.period_seconds + F.col(elapsed)
 
 
+def _spread(name: str) -> Column:
+    """The name, or one of many stand-ins if there is none.
+
+    Most events have no second player. Joined by a null name they would all land in one task;
+    the join asks for a known name besides, so a stand-in never matches.
+    """
+    stand_in = F.concat(F.lit("no player "), (F.col("event_id") % 1009).cast("string"))
+    return F.coalesce(F.col(name), stand_in)
+
+
 def fact_events(
     clean: DataFrame, games: DataFrame, teams: DataFrame, players: DataFrame, rules: Rules = RULES
 ) -> DataFrame:
@@ -40,17 +50,20 @@ def fact_events(
         {
             "game_seconds": game_clock("period", "period_elapsed", rules),
             "_second_team": X.second_player_team("event", "event_team", "opponent", rules),
-            # Most events have no second player. Spread them over tasks by a name nobody has;
-            # the join condition keeps them unmatched.
-            "_second_name": F.coalesce(
-                F.col("player_2"), F.concat(F.lit("no player "), (F.col("event_id") % 1009).cast("string"))
-            ),
+            "_first_name": _spread("event_player"),
+            "_second_name": _spread("player_2"),
         }
     )
     return (
         events.join(actor, F.col("event_team") == F.col("_team"), "left")
         .join(opponent, F.col("opponent") == F.col("_opp"), "left")
-        .join(first, (F.col("event_player") == F.col("_name_1")) & (F.col("event_team") == F.col("_team_1")), "left")
+        .join(
+            first,
+            F.col("event_player").isNotNull()
+            & (F.col("_first_name") == F.col("_name_1"))
+            & (F.col("event_team") == F.col("_team_1")),
+            "left",
+        )
         .join(
             second,
             F.col("player_2").isNotNull()
