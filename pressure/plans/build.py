@@ -15,7 +15,7 @@ from pressure.plans.marts import WinTables, win_counts
 from pressure.plans.wins import fact_puck_wins
 from pressure.sources.csv_log import ingest_events
 from pressure.sources.scratch import keep, mark, release
-from pressure.sources.tables import create_layers, dense_ids, missing, replace_table
+from pressure.sources.tables import attach_tables, create_layers, dense_ids, missing, replace_table
 
 Save = Callable[[DataFrame, str], DataFrame]
 
@@ -103,6 +103,11 @@ def open_layers(spark: SparkSession) -> Layers:
 
 
 def build_if_absent(spark: SparkSession, csv_path: str, root: str | None = None) -> Layers:
-    if missing(spark, (STAGED, *TABLES)):
+    """Opens the tables, of this catalog or written under `root`; builds all if one is missing."""
+    names = (STAGED, *TABLES)
+    create_layers(spark)
+    if root is not None:
+        attach_tables(spark, names, root)
+    if missing(spark, names):
         return build_all(spark, csv_path, root)
     return open_layers(spark)

@@ -67,6 +67,12 @@ def _files(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written here to the end."""
+    system, where = _files(spark, f"{path}/_SUCCESS")
+    return system.exists(where)
+
+
 def file_state(spark: SparkSession, path: str) -> tuple:
     """Path, size and last change of the files under a path."""
     system, where = _files(spark, path)

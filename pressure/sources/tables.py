@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressure.sources.scratch import written
+
 LAYERS = ("staging", "clean", "warehouse")
 
 
@@ -21,15 +23,26 @@ def layers_present(spark: SparkSession, names: Sequence[str] = LAYERS) -> list[s
     return sorted(db.name for db in spark.catalog.listDatabases() if db.name in names)
 
 
+def _folder(name: str, root: str) -> str:
+    return f"{root.rstrip('/')}/{name.replace('.', '/')}"
+
+
 def replace_table(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     """Creates or replaces a table and returns it; under `root` if one is given."""
     writer = df.write.mode("overwrite").format("parquet")
     if root is not None:
-        writer = writer.option("path", f"{root.rstrip('/')}/{name.replace('.', '/')}")
+        writer = writer.option("path", _folder(name, root))
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
+def attach_tables(spark: SparkSession, names: Iterable[str], root: str) -> None:
+    """Names the tables written under `root` by an earlier session that this catalog lacks."""
+    for name in missing(spark, names):
+        if written(spark, _folder(name, root)):
+            spark.catalog.createTable(name, path=_folder(name, root), source="parquet")
+
+
 def row_counts(spark: SparkSession, names: Iterable[str]) -> dict[str, int]:
     """Rows per table, read from the Parquet footers."""
     return {name: spark.table(name).count() for name in names}

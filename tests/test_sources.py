@@ -102,6 +102,16 @@ def test_build_writes_every_table_and_can_run_again(spark, folder, tmp_path):
     assert set(T.read_tables(spark, names)) == set(names)
     spark.sql("DROP TABLE warehouse.dim_team")
     assert T.missing(spark, names) == ["warehouse.dim_team"]
+    # The files are still there, so opening by folder needs no build.
+    assert B.build_if_absent(spark, "/nowhere.csv", root).teams.count() == 4
+    assert T.missing(spark, names) == []
+
+
+def test_command_line(spark, folder, tmp_path, capsys):
+    from pressure.__main__ import main
+
+    main([folder, "--root", str(tmp_path / "cli")])
+    assert "|1188|    0.125|" in capsys.readouterr().out
 
 
 def test_dense_ids(spark):
