@@ -54,11 +54,15 @@ def distinct_ids(check: str, df: DataFrame, column: str) -> DataFrame:
     return df.agg(*_result(check, n, n - F.count_distinct(column)))
 
 
+def outside(column: str, values: Sequence[str]) -> Column:
+    """Whether a value is not on the list; an unknown one is not."""
+    return ~F.coalesce(F.col(column).isin(*values), F.lit(False))
+
+
 def accepted_values(check: str, df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    """Distinct values outside the list; an unknown value is outside."""
-    outside = ~F.coalesce(F.col(column).isin(*values), F.lit(False))
+    """Distinct values outside the list."""
     groups = df.groupBy(column).agg(F.count("*").alias("_n"))
-    return groups.agg(*_result(check, F.sum("_n"), F.count_if(outside)))
+    return groups.agg(*_result(check, F.sum("_n"), F.count_if(outside(column, values))))
 
 
 def null_parity(check: str, left: DataFrame, a: str, right: DataFrame, b: str, key: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressure.config import END_REASON_LABELS, RULES, WIN_TYPES, Rules
+from pressure.config import END_REASON_LABELS, RULES, STRENGTHS, WIN_TYPES, Rules
 from pressure.operators import quality as Q
 from pressure.plans import marts as M
 from pressure.plans.build import Layers
@@ -64,11 +64,12 @@ def table_checks(layers: Layers, rules: Rules = RULES) -> DataFrame:
                     "shot falls inside the window": led
                     & (seconds.isNull() | (seconds < 0) | (seconds > rules.window_seconds)),
                     "end reason agrees with the shot flag": ~(F.col("end_reason") == "shot").eqNullSafe(led),
+                    "win event known": Q.outside("event", rules.win_events),
+                    "win type known": Q.outside("win_type", WIN_TYPES),
+                    "end reason known": Q.outside("end_reason", list(END_REASON_LABELS)),
                 },
             ),
-            Q.accepted_values("win event known", wins, "event", rules.win_events),
-            Q.accepted_values("win type known", wins, "win_type", WIN_TYPES),
-            Q.accepted_values("end reason known", wins, "end_reason", list(END_REASON_LABELS)),
+            Q.accepted_values("strength known", clean, "strength_state", STRENGTHS),
         ]
     )
 

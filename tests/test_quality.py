@@ -40,7 +40,7 @@ def test_checks_on_nothing(table):
 
 def test_built_tables_pass(layers):
     got = {r["check"]: r for r in C.table_checks(layers).collect()}
-    assert len(got) == 23 and all(r["violations"] == 0 for r in got.values())
+    assert len(got) == 24 and all(r["violations"] == 0 for r in got.values())
 
 
 def test_broken_tables_fail(spark, layers):
