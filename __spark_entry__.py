@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import oracle
+if str(Path(__file__).resolve().parent) not in sys.path:
+    sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import check_sql
 from pressure.config import Limits
 from pressure.functions import expressions as X
 from pressure.operators import profile as P
@@ -147,11 +152,11 @@ def _late(tables: Layers) -> DataFrame:
 
 
 def _filter_sets() -> list[marts.Filters]:
-    return [marts.Filters(**f) for f in oracle.FILTER_SETS]
+    return [marts.Filters(**f) for f in check_sql.FILTER_SETS]
 
 
 def _report_checks(tables: Layers) -> DataFrame:
-    minimum_sets = [marts.Filters(**f) for f, _ in oracle.MINIMUM_SETS]
+    minimum_sets = [marts.Filters(**f) for f, _ in check_sql.MINIMUM_SETS]
     return checks.report_checks(tables.win_tables, _filter_sets(), minimum_sets)
 
 
@@ -245,4 +250,4 @@ def _rounded(described: DataFrame) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    return check_sql.oracle_sql()

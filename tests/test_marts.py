@@ -5,14 +5,14 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-import oracle
+import check_sql
 from pressure.functions import edge
 from pressure.plans import checks as C
 from pressure.plans import marts as M
 from pressure.plans.build import build_scratch
 from tests.rows import raw_row, raw_table
 
-SETS = [M.Filters(**f) for f in oracle.FILTER_SETS]
+SETS = [M.Filters(**f) for f in check_sql.FILTER_SETS]
 
 
 @pytest.fixture(scope="module")
