@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib.util
+import os
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -9,8 +11,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-if str(Path(__file__).resolve().parent) not in sys.path:
-    sys.path.insert(0, str(Path(__file__).resolve().parent))
+HERE = str(Path(__file__).resolve().parent)
+if HERE not in sys.path:
+    sys.path.insert(0, HERE)
 
 import check_sql
 from pressure.config import Limits
@@ -49,6 +52,46 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
     return _BUILT[key]
 
 
+def _importable(query: Query) -> Query:
+    """Python workers of a local session find the package whatever folder they start in; a cluster has it installed."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+        if HERE not in paths:
+            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([HERE, *filter(None, paths)])
+        return query(spark, sf_dir)
+
+    return run
+
+
+def _llm() -> dict[str, Query]:
+    """The queries of subpackage llm and of the corpus pipeline, as far as these are there."""
+    found: dict[str, Query] = {}
+    if importlib.util.find_spec("pressure.llm") is not None:
+        from pressure.llm.queries import queries as of_llm
+
+        found |= of_llm()
+        if importlib.util.find_spec("corpus_pipeline") is not None:
+            import corpus_pipeline
+
+            found["pipeline"] = corpus_pipeline.run
+    return {name: _importable(query) for name, query in found.items()}
+
+
+def _llm_sql() -> dict[str, str]:
+    found: dict[str, str] = {}
+    if importlib.util.find_spec("pressure.llm") is not None:
+        from pressure.llm.queries import oracle_sql as of_llm
+
+        found |= of_llm()
+        if importlib.util.find_spec("corpus_pipeline") is not None:
+            import corpus_pipeline
+
+            if corpus_pipeline.ORACLE_SQL:
+                found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return queries()["shot_rate_by_win_type"](spark, "/root/testdata/sf0.001")
 
@@ -236,6 +279,7 @@ def queries() -> dict[str, Query]:
         "native_click_to_purchase_split": _on_users(
             lambda e: activity.click_outcomes(e, limits=Limits(group_rows=60, chunk_rows=512))
         ),
+        **_llm(),
     }
 
 
@@ -250,4 +294,4 @@ def _rounded(described: DataFrame) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return check_sql.oracle_sql()
+    return check_sql.oracle_sql() | _llm_sql()
