@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressure.llm import bpe, licenses, packing, sharding
+from pressure.llm import bpe, licenses, packing, quality, sharding, toxicity
 from pressure.llm.common import table
 
 # The rank file of the byte-level vocabulary.
@@ -21,6 +21,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.read_vocabulary(vocabulary_path()))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 40)
 
@@ -33,12 +37,18 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
     return {
         "op1_bpe": op1_bpe,
+        "op2_quality": op2_quality,
         "op3_sharding": op3_sharding,
         "op4_packing": op4_packing,
         "op9_licenses": op9_licenses,
+        "op10_toxicity": op10_toxicity,
     }
 
 
