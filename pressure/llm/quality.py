@@ -213,3 +213,9 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return graded.select(
         "doc_id", held_out("doc_id").alias("held_out"), "expected_grade", "p_wanted", (F.col("p_wanted") >= KEEP_FROM).alias("kept")
     )
+
+
+def select_good(docs: DataFrame, model: bytes, wanted: int = 1, text_column: str = "text") -> DataFrame:
+    """All columns of the documents that reach the wanted grade with a probability of at least KEEP_FROM."""
+    graded = grader(docs, model, wanted)(F.col(text_column).cast("string"))
+    return docs.where(graded["tail"] >= KEEP_FROM)

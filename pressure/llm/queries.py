@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressure.llm import bpe, licenses, packing, quality, sharding, toxicity
+from pressure.llm import bpe, licenses, minhash, packing, quality, sharding, toxicity
 from pressure.llm.common import table
 
 # The rank file of the byte-level vocabulary.
@@ -33,6 +33,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def queries() -> dict:
         "op2_quality": op2_quality,
         "op3_sharding": op3_sharding,
         "op4_packing": op4_packing,
+        "op5_minhash": op5_minhash,
         "op9_licenses": op9_licenses,
         "op10_toxicity": op10_toxicity,
     }

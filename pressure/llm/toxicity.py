@@ -254,3 +254,8 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.select(
         "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
+
+
+def select_clean(docs: DataFrame, model: bytes, text_column: str = "text") -> DataFrame:
+    """All columns of the documents that score below THRESHOLD."""
+    return docs.where(scorer(docs, model)(F.col(text_column).cast("string")) < THRESHOLD)
