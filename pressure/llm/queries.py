@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressure.llm import bpe, licenses, minhash, packing, quality, sharding, toxicity
+from pressure.llm import bpe, caps, licenses, minhash, packing, quality, sharding, toxicity
 from pressure.llm.common import table
 
 # The rank file of the byte-level vocabulary.
@@ -37,6 +37,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def queries() -> dict:
         "op3_sharding": op3_sharding,
         "op4_packing": op4_packing,
         "op5_minhash": op5_minhash,
+        "op7_caps": op7_caps,
         "op9_licenses": op9_licenses,
         "op10_toxicity": op10_toxicity,
     }
