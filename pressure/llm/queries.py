@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pressure.llm import bpe, caps, licenses, minhash, packing, quality, sharding, toxicity
+from pressure.llm import ann, bpe, caps, licenses, minhash, packing, quality, sharding, toxicity
 from pressure.llm.common import table
 
 # The rank file of the byte-level vocabulary.
@@ -37,6 +38,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op7_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -56,6 +61,7 @@ def queries() -> dict:
         "op3_sharding": op3_sharding,
         "op4_packing": op4_packing,
         "op5_minhash": op5_minhash,
+        "op6_ann": op6_ann,
         "op7_caps": op7_caps,
         "op9_licenses": op9_licenses,
         "op10_toxicity": op10_toxicity,
