@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressure.llm import ann, bpe, caps, licenses, minhash, packing, quality, sharding, toxicity
+from pressure.llm import ann, bpe, caps, extraction, licenses, minhash, packing, quality, sharding, toxicity
 from pressure.llm.common import table
 
 # The rank file of the byte-level vocabulary.
@@ -46,6 +46,10 @@ def op7_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extraction_report(table(spark, sf_dir, "pages"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ def queries() -> dict:
         "op5_minhash": op5_minhash,
         "op6_ann": op6_ann,
         "op7_caps": op7_caps,
+        "op8_extraction": op8_extraction,
         "op9_licenses": op9_licenses,
         "op10_toxicity": op10_toxicity,
     }
