@@ -33,6 +33,7 @@ IMPLIED = {
     "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
     "option": (("option",), ("select",)), "body": (("head",), ()),
 }
+MAIN = frozenset(("article", "main"))
 P_SCOPE = ("td", "th", "button", "table", "caption")
 NAMED = ("class", "id", "role", "itemprop", "aria-label", "data-role")
 
@@ -75,8 +76,9 @@ def _amounts(kind: str, words: int, linked: int) -> list[int]:
     return [slot(f"{kind}words {_bucket(words)}"), slot(f"{kind}linked {share}"), slot(f"{kind}both {_bucket(words)} {share}")]
 
 
-def _element(tag: str, attributes: str) -> list[int]:
-    found = [slot("element"), slot(f"tag {tag}")]
+def _element(tag: str, above: str, inside: str, attributes: str) -> list[int]:
+    """above: tag of the element around it; inside: "article" if one is around it."""
+    found = [slot("element"), slot(f"tag {tag}"), slot(f"tag {tag} in {above}"), slot(f"tag {tag} inside {inside}")]
     if attributes and "=" in attributes or "hidden" in attributes:
         for name, *values, alone in ATTRIBUTE.findall(attributes):
             name, value = (name or alone).lower(), next(filter(None, values), "").lower()
@@ -94,6 +96,7 @@ def parse(source: str) -> Page:
     total, linked = [0], [0]  # words, and words inside links, below each node
     pieces: list[str] = []  # text of the block that is being read, and whether it is inside a link
     in_link: list[bool] = []
+    page_tag = {0: "root"}
     links = 0
 
     def flush() -> None:
@@ -104,7 +107,9 @@ def parse(source: str) -> Page:
             node = stack[-1][1]
             words = text.count(" ") + 1
             own = sum(len(p.split()) for p, a in zip(pieces, in_link, strict=True) if a)
-            marks = [slot("leaf"), slot(f"leaf in {stack[-1][0]}"), *_amounts("leaf ", words, own)]
+            around = page_tag[node]
+            inside = "article" if any(t in MAIN for t, _ in stack) else "page"
+            marks = [slot("leaf"), slot(f"leaf in {around}"), slot(f"leaf in {around} inside {inside}"), *_amounts("leaf ", words, own)]
             marks.append(slot(f"leaf ends {text[-1] in '.!?…:;'}"))
             if "©" in text or "All rights" in text:
                 marks.append(slot("leaf rights"))
@@ -179,7 +184,9 @@ def parse(source: str) -> Page:
                 close(place)  # no block lies inside a paragraph
             if tag in IMPLIED and (place := last(*IMPLIED[tag])):
                 close(place)
-            node = page.add(stack[-1][1], _element(tag, attributes))
+            inside = "article" if any(t in MAIN for t, _ in stack) else "page"
+            node = page.add(stack[-1][1], _element(tag, page_tag[stack[-1][1]], inside, attributes))
+            page_tag[node] = tag
             total.append(0)
             linked.append(0)
             if len(stack) < DEEPEST:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pressure.llm.common import shared, slices
 from pressure.llm.dom import FEATURES, Page, parse
 
-LABELLED_PAGES = 500
+LABELLED_PAGES = 800
 
 
 class Forest:
@@ -204,8 +204,8 @@ class _Writer:
                 self.block(r.choice(["p", "p", "div"]), self.words(3, 60), 0)
                 self.out.append(f"</{inner}>")
         else:
-            if r.random() < 0.35:
-                self.block(r.choice(["h2", "h3", "h4", "h1" if part == "header" else "h3"]), self.words(1, 4), 0)
+            if r.random() < (0.6 if part == "header" else 0.35):
+                self.block(r.choice(["h1", "h1", "h2", "h3"] if part == "header" else ["h2", "h3", "h4"]), self.words(1, 5), 0)
             kind = r.random()
             if kind < 0.3 or part == "aside" and kind < 0.6:
                 self.list_of_links(r.randint(2, 6))
@@ -274,7 +274,7 @@ class _Writer:
         wrapper = r.random() < 0.4
         if wrapper:
             self.out.append(f"<div {r.choice(['id', 'class'])}=\"{r.choice(['page', 'wrapper', 'container', 'site', 'app', 'root', 'outer'])}\">")
-        for part in r.sample(["header", "nav", "notice", "ad", "form"], r.randint(0, 4)):
+        for part in r.sample(["header", "header", "nav", "notice", "ad", "form"], r.randint(0, 5)):
             self.junk(part)
         columns = r.random() < 0.3
         if columns:

@@ -81,7 +81,7 @@ TEXT_RULES = [
 
 # Every known unit holds one of these, so a text without any of them needs no closer look.
 ANCHORS = "licen[cs]ed|released|distributed|published|available|spdx|permission|redistribut|copyright|license|unencumbered|waived"
-# Characters that end a sentence when white space follows.
+# Characters that end a sentence when white space follows; an empty line ends one as well.
 SENTENCE_END = r"([.!?;:])(\s)"
 CUT = "\x01"
 # "This work is licensed under the <name>", in normalised form.
@@ -127,7 +127,8 @@ def _found(units: Column) -> Column:
 
 def sequence(text: Column) -> Column:
     """Distinct (place, id) of a text's known units, in order of place, by sentences and by lines."""
-    sentences = F.split(F.regexp_replace(text, SENTENCE_END, "$1" + CUT), CUT)
+    paragraphs = F.replace(text, F.lit("\n\n"), F.lit("\n" + CUT))
+    sentences = F.split(F.regexp_replace(paragraphs, SENTENCE_END, "$1" + CUT), CUT)
     lines = F.split(text, "\n")
     return F.sort_array(F.array_distinct(F.concat(_found(sentences), _found(lines))))
 
@@ -179,7 +180,7 @@ known_name(alias, id) AS (VALUES {names}),
 doc AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
 looked AS (SELECT row, text FROM doc WHERE regexp_matches(text, '(?i){ANCHORS}')),
 cut AS (
-  SELECT row, 0 AS kind, string_split(regexp_replace(text, '{SENTENCE_END}', '\\1' || chr(1), 'g'), chr(1)) AS units FROM looked
+  SELECT row, 0 AS kind, string_split(regexp_replace(replace(text, chr(10) || chr(10), chr(10) || chr(1)), '{SENTENCE_END}', '\\1' || chr(1), 'g'), chr(1)) AS units FROM looked
   UNION ALL SELECT row, 1, string_split(text, chr(10)) FROM looked),
 unit AS (SELECT row, kind, unnest(units) AS unit, generate_subscripts(units, 1) AS i FROM cut),
 placed AS (

@@ -327,12 +327,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def families(signed: DataFrame, schema: str) -> DataFrame:
-    """(id, component) of the signed rows that may have near-duplicates."""
-    buckets = signed.select("id", F.explode("bands").alias("bucket"))
+def families(firsts: DataFrame, signed: DataFrame, schema: str) -> DataFrame:
+    """(id, component) of the first rows of classes that may have near-duplicates among each other."""
+    buckets = firsts.select("id", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     blocks = F.ceil(F.col("members") / BLOCK_MEMBERS).cast("long")
-    met = buckets.join(shared.select("bucket", blocks.alias("blocks")), "bucket")
+    met = buckets.join(keep(shared.select("bucket", blocks.alias("blocks")), "buckets"), "bucket")
     dealt = _in_blocks(met.join(signed.select("id", "signature"), "id"), "bucket", "blocks")
     pairs = dealt.select("bucket", "p", "q", "id", "signature").mapInArrow(_candidates, schema)
     return components(pairs, "a", "b")
@@ -356,11 +356,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     signed = keep(sign(docs, id_column, text_column), "signed")
     known = signed.where("id IS NOT NULL AND n_shingles > 0")
     classes = known.groupBy("class_key").agg(F.min("id").alias("first"), F.count("*").alias("rows"))
-    again = known.join(classes.where("rows > 1"), "class_key").where("id != first").select("id", "class_key", "first")
+    # Written, so that a join with a very large class shuffles both sides and adaptive execution can split it.
+    several = keep(classes.where("rows > 1").select("class_key", "first"), "classes")
+    again = known.select("id", "class_key").join(several, "class_key").where("id != first")
     copies = keep(again.distinct(), "copies")
-    firsts = keep(known.join(copies, ["id", "class_key"], "left_anti").select("id", "n_shingles", "signature", "bands"), "classes")
-    family = families(firsts, schema)
-    members = firsts.select("id", "n_shingles").distinct().join(family, "id")
+    family = families(known.join(copies, ["id", "class_key"], "left_anti"), known, schema)
+    members = known.select("id", "n_shingles").distinct().join(family, "id")
     found = links(docs, members, id_column, text_column, schema)
     all_links = found.unionAll(copies.select(F.col("id").alias("a"), F.col("first").alias("b")))
     component = components(all_links, "a", "b")

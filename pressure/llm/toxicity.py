@@ -176,7 +176,7 @@ def train(texts: list[str], grades: list[int], rounds: int = 16, seed: int = 10)
     vocabulary = sorted(set().union(*lists)) if lists else []
     labels = np.array(grades, np.int64)
     if not vocabulary or labels.min() == labels.max():
-        offsets = np.array([0.0, 4.0 if labels.any() else -4.0], np.float32)
+        offsets = np.array([0.0, 4.0 if len(labels) and labels.all() else -4.0], np.float32)
         return Model(np.zeros((ROWS, WIDTH), np.float32), np.zeros((2, WIDTH), np.float32), offsets)
     trainer = _Trainer(vocabulary, seed)
     number = {w: i for i, w in enumerate(vocabulary)}
