@@ -1,7 +1,7 @@
 """Connected components of a table of links, by stars that contract round by round.
 
 Every round joins each node's neighbours to the smallest of them, larger neighbours first, then
-smaller ones, until nothing changes; each round is written to the shared folder, so a lost executor
+smaller ones, until every component is one star; each round is written to the shared folder, so a lost executor
 costs one round at most. The number of rounds grows with the logarithm of the longest chain.
 Links with a null end, and of a node with itself, are left out; repeated links count once.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressure.sources.scratch import keep_counted
+from pressure.sources.scratch import keep
 
 
 def _joined(links: DataFrame, node: str, other: str) -> DataFrame:
@@ -33,20 +33,21 @@ def _small_star(links: DataFrame) -> DataFrame:
     return to_least.unionAll(own).where("u != v").distinct()
 
 
+def _settled(stars: DataFrame) -> bool:
+    """Whether every node has one link to a smaller one at most, and none if a larger one links to it."""
+    ends = stars.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        stars.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(id, component): the smallest node that each linked node can reach; nodes without links are absent."""
     named = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u != v")
-    stars, count = keep_counted(_small_star(named.distinct()), "stars")
-    state = None
-    while count:
-        stars, count = keep_counted(_small_star(_large_star(stars)), "stars")
-        # The same number of links with the same sums of hashes: the same links.
-        sums = stars.agg(
-            F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))
-        ).first()
-        if state == (count, *sums):
-            break
-        state = (count, *sums)
+    stars = keep(_small_star(named.distinct()), "stars")
+    while not _settled(stars):
+        stars = keep(_small_star(_large_star(stars)), "stars")
     return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(
         stars.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     )
