@@ -1,9 +1,10 @@
 """What came just before an event, and what came first after it.
 
-Rows form groups (a game, a period of a game, a user) and have a unique integer order value.
-A group small enough for one task is one window partition. A larger group is cut into runs of
-order values, each run is scanned on its own, and one row per run carries the result of the
-earlier runs into the later ones. No step pairs the rows of a group with each other.
+Rows form groups (a game, a period of a game, a user) and have an integer order value that is
+unique in the group; values may repeat in other groups. A group small enough for one task is one
+window partition. A larger group is cut into runs of neighbouring rows, each run is scanned on its
+own, and one row per run carries the result of the earlier runs into the later ones. No step pairs
+the rows of a group with each other.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressure.config import LIMITS, Limits
+from pressure.operators.ordering import row_numbers
 from pressure.sources.scratch import keep, keep_counted
 
 Aggregates = dict[str, tuple[Callable[[Column], Column], Column]]
@@ -33,7 +35,8 @@ def split_by_size(
 ) -> DataFrame:
     """Runs `job(rows, None)` on ordinary groups and `job(rows, run)` on the large ones.
 
-    `run` names a column that numbers the runs of order values a large group is cut into.
+    `run` names a column that numbers the runs a large group is cut into, `chunk_rows` rows each
+    however sparse the order values are.
     """
     sizes = df.groupBy(*by).agg(F.count("*").alias("_rows"))
     large = sizes.filter(F.col("_rows") > limits.group_rows).select(*by)
@@ -43,7 +46,8 @@ def split_by_size(
     large = keep(large, "large-groups")
     ordinary = df.join(large, _same(df, large, by), "left_anti")
     rest = df.join(large, _same(df, large, by), "left_semi")
-    runs = rest.withColumn("_run", F.expr(f"`{order}` DIV {limits.chunk_rows}"))
+    numbered = row_numbers(rest, [*by, order], "_row", limits.one_task_rows)
+    runs = numbered.withColumn("_run", F.expr(f"_row DIV {limits.chunk_rows}")).drop("_row")
     return job(ordinary, None).unionByName(job(runs, "_run").drop("_run"))
 
 
@@ -74,7 +78,7 @@ def scan(
         return scanned
 
     # Written, so that scans built on this one do not work the totals out again.
-    totals, count = keep_counted(
+    totals = keep(
         df.groupBy(*keys).agg(*[agg(value).alias(name) for name, (agg, value) in aggregates.items()]), "runs"
     )
     earlier = window(by, run, -1)
@@ -82,8 +86,6 @@ def scan(
         *[F.col(k).alias(f"_key_{k}") for k in keys],
         *[agg(F.col(name)).over(earlier).alias(f"_carried_{name}") for name, (agg, _) in aggregates.items()],
     )
-    if count <= LIMITS.broadcast_rows:
-        carried = F.broadcast(carried)
     match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
     pick = {F.min: F.least, F.max: F.greatest}
     return (
@@ -304,14 +306,18 @@ def _search(
         rows.filter(F.col("_asker").isNotNull())
         .withColumn("_answer", answer)
         .withColumn("_answer", F.when(F.col("_answer").isNotNull(), F.struct(*[f"_answer.{c}" for c in fields])))
-        .groupBy("_asker")
+        .groupBy(*[F.col(c).alias(f"_of_{c}") for c in by], "_asker")
         .agg(
             F.min(F.when(~is_hit, F.col("_answer"))).alias("_end"),
             F.min(F.when(is_hit, F.col("_answer"))).alias("_hit"),
         )
     )
-    both = anchors.join(answers, anchors[order] == answers["_asker"], "left").withColumns(
-        {"end": F.coalesce("end", "_end"), "hit": F.coalesce("hit", "_hit")}
+    # Order values may repeat in other groups, so an answer belongs to a group and an order value.
+    own = reduce(lambda a, b: a & b, [anchors[c] == answers[f"_of_{c}"] for c in by], anchors[order] == answers["_asker"])
+    both = (
+        anchors.join(answers, own, "left")
+        .withColumns({"end": F.coalesce("end", "_end"), "hit": F.coalesce("hit", "_hit")})
+        .drop(*[f"_of_{c}" for c in by])
     )
     before_end = F.col("end").isNull() | (F.col(f"hit.{order}") < F.col(f"end.{order}"))
     return both.withColumn("hit", F.when(before_end, F.col("hit")))

@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from pressure.config import Limits
-from pressure.operators import sequence
 from pressure.operators.sequence import first_outcome, previous_row, split_by_size
 
 SCHEMA = "g string, id long, t long, side string, kind string"
@@ -47,7 +46,7 @@ def by_hand(rows: list[tuple], horizon: int) -> dict[int, tuple]:
     return want
 
 
-def run(spark, rows, horizon, limits):
+def run(spark, rows, horizon, limits, key=lambda g, i: i):
     df = spark.createDataFrame(rows, SCHEMA)
 
     def job(part, run):
@@ -56,7 +55,8 @@ def run(spark, rows, horizon, limits):
             F.col("kind") == "stop", horizon, ["kind"], run,
         )
 
-    return {r["id"]: (r["end"] and r["end"]["id"], r["hit"] and r["hit"]["id"]) for r in split_by_size(df, ["g"], "id", job, limits).collect()}
+    rows = split_by_size(df, ["g"], "id", job, limits).collect()
+    return {key(r["g"], r["id"]): (r["end"] and r["end"]["id"], r["hit"] and r["hit"]["id"]) for r in rows}
 
 
 @pytest.mark.parametrize("limits", [Limits(), Limits(group_rows=20, chunk_rows=16)], ids=["whole", "cut"])
@@ -77,11 +77,42 @@ def test_first_outcome(spark, limits, jitter, sides):
     assert run(spark, rows, 6, limits) == by_hand(rows, 6)
 
 
+@pytest.mark.parametrize("limits", [Limits(), Limits(group_rows=20, chunk_rows=16)], ids=["whole", "cut"])
+@pytest.mark.parametrize("step", [1, 1_000_003])
 @pytest.mark.parametrize("jitter", [0, 40])
-def test_run_totals_too_many_to_broadcast(spark, monkeypatch, jitter):
-    monkeypatch.setattr(sequence, "LIMITS", Limits(broadcast_rows=0))
+def test_order_values_may_repeat_in_other_groups(spark, limits, step, jitter):
+    """Ids that start anew in every group, next to each other or far apart, with and without late clocks."""
     rows = make(3, 300, jitter, ["a", "b"], 4)
-    assert run(spark, rows, 6, Limits(group_rows=20, chunk_rows=16)) == by_hand(rows, 6)
+    seen, again = {}, []
+    for g, _, t, side, kind in rows:
+        seen[g] = seen.get(g, 0) + 1
+        again.append((g, seen[g] * step, t, side, kind))
+    want = {}
+    for g in seen:
+        own = [r for r in again if r[0] == g]
+        want |= {(g, i): found for i, found in by_hand(own, 6).items()}
+    assert run(spark, again, 6, limits, lambda g, i: (g, i)) == want
+
+
+def test_an_answer_of_another_group_is_not_taken(spark):
+    rows = [("a", 1, 0, "x", "win"), ("a", 2, 30, "x", "play"), ("a", 3, 5, "x", "shot")]
+    rows += [("b", 1, 0, "x", "win"), ("b", 2, 30, "x", "play"), ("b", 3, 5, "x", "stop")]
+    got = run(spark, rows, 10, Limits(), lambda g, i: (g, i))
+    assert got == {("a", 1): (None, 3), ("b", 1): (3, None)}
+
+
+@pytest.mark.parametrize("step", [1, 1_000_003])
+def test_runs_hold_so_many_rows_however_sparse_the_order(spark, step):
+    df = spark.range(1000).selectExpr("'g' AS g", f"id * {step} AS id")
+    sizes = []
+
+    def job(part, run):
+        if run:
+            sizes.extend(r["count"] for r in part.groupBy(run).count().collect())
+        return part
+
+    assert split_by_size(df, ["g"], "id", job, Limits(group_rows=50, chunk_rows=100, one_task_rows=300)).count() == 1000
+    assert max(sizes) <= 100 and len(sizes) <= 11
 
 
 @pytest.mark.parametrize("limits", [Limits(), Limits(group_rows=20, chunk_rows=16)], ids=["whole", "cut"])
