@@ -57,7 +57,7 @@ def raw_log_of(events: DataFrame) -> DataFrame:
         "0 AS `Home Team Goals`",
         "0 AS `Away Team Goals`",
         "CASE WHEN side = 0 THEN pre || hn ELSE pre || an END AS `Team`",
-        "' Player ' || CAST(u % 12 AS STRING) || ' ' AS `Player`",
+        "CASE WHEN h % 97 = 0 THEN ' Rookie ' || CAST(u AS STRING) ELSE ' Player ' || CAST(u % 12 AS STRING) || ' ' END AS `Player`",
         "CASE WHEN h % 41 = 0 THEN ' ' || ev || ' ' ELSE ev END AS `Event`",
         "CASE WHEN h % 61 = 0 THEN NULL ELSE (h * 3) % 201 END AS `X Coordinate`",
         "CASE WHEN h % 37 = 0 THEN NULL ELSE (h * 5) % 86 END AS `Y Coordinate`",

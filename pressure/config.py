@@ -36,15 +36,16 @@ class Rules:
 class Limits:
     """How much one task may be asked to hold. These never change a result."""
 
-    # A group with more rows than this is cut into runs of `chunk_rows` order values.
+    # A group with more rows than this is cut into runs of `chunk_rows` rows.
     group_rows: int = 2_000_000
     chunk_rows: int = 1_000_000
     # A table with more rows than this is numbered range by range, not in one task.
     one_task_rows: int = 1_000_000
-    # File blocks joined back by broadcast; about 150 bytes each.
-    broadcast_rows: int = 500_000
+    # File blocks joined back by broadcast; two integers each, so 64 MB at most.
+    broadcast_rows: int = 4_000_000
 
 
+# How a win came about.
 WIN_TYPES = (
     "Rebound",
     "Faceoff",
@@ -60,6 +61,7 @@ END_REASON_LABELS = {
     "time_expired": "Kept it, no shot in 10s",
     "stoppage": "Whistle",
 }
+# Even, power play, short-handed, against an empty net, with an extra attacker.
 STRENGTHS = ("EV", "PP", "PK", "EN", "EA")
 
 RULES = Rules()

@@ -5,9 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from fixture_log import raw_log
 from pressure.config import Limits
 from pressure.plans.build import build_scratch
-from pressure.sources.event_log import raw_log
 
 
 @pytest.fixture(scope="module")
