@@ -6,9 +6,10 @@ import importlib.util
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 HERE = str(Path(__file__).resolve().parent)
@@ -16,6 +17,7 @@ if HERE not in sys.path:
     sys.path.insert(0, HERE)
 
 import check_sql
+from fixture_log import raw_log
 from pressure.config import Limits
 from pressure.functions import expressions as X
 from pressure.operators import profile as P
@@ -24,7 +26,6 @@ from pressure.plans import activity, checks, clean, dims, marts, wins
 from pressure.plans.build import Layers, build_scratch
 from pressure.plans.profiling import COORDINATES
 from pressure.sources.csv_log import ingest_events
-from pressure.sources.event_log import raw_log
 from pressure.sources.scratch import file_state, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,10 +200,69 @@ def _filter_sets() -> list[marts.Filters]:
 
 
 def _report_checks(tables: Layers) -> DataFrame:
-    minimum_sets = [marts.Filters(**f) for f, _ in check_sql.MINIMUM_SETS]
+    minimum_sets = [(marts.Filters(**f), n) for f, n in check_sql.MINIMUM_SETS]
     return checks.report_checks(tables.win_tables, _filter_sets(), minimum_sets)
 
 
+def _broken(tables: Layers) -> Layers:
+    """The tables with faults of every kind that the checks look for."""
+    at = F.col("event_id")
+
+    def fault(period: int, rest: int, wrong: object, column: str) -> Column:
+        return F.when(at % period == rest, wrong).otherwise(F.col(column))
+
+    clean = tables.clean.withColumns(
+        {
+            "strength_state": fault(40, 2, F.lit("XX"), "strength_state"),
+            "period_elapsed": fault(30, 3, F.lit(-1), "period_elapsed"),
+        }
+    )
+    copies = clean.filter(at % 50 == 1).withColumn("event_id", at + 10_000_000_000_000)
+    team = F.when(at % 70 == 5, F.col("opponent_team_key")).when(at % 70 == 6, None).otherwise(F.col("event_team_key"))
+    events = tables.events.withColumns(
+        {
+            "game_key": fault(60, 4, None, "game_key"),
+            "event_team_key": team,
+            "event_player_key": fault(80, 7, None, "event_player_key"),
+            "event_player2_key": fault(90, 8, None, "event_player2_key"),
+        }
+    )
+    wins = tables.wins.withColumns(
+        {
+            "led_to_shot": fault(25, 8, ~F.col("led_to_shot"), "led_to_shot"),
+            "win_type": fault(20, 9, F.lit("Mystery"), "win_type"),
+            "end_reason": fault(15, 1, None, "end_reason"),
+            "x_coord": fault(45, 3, F.lit(10), "x_coord"),
+            "seconds_to_shot": fault(10, 0, F.lit(99), "seconds_to_shot"),
+        }
+    )
+    return replace(
+        tables,
+        clean=clean.unionByName(copies),
+        events=events,
+        wins=wins.unionByName(tables.wins.filter(at % 35 == 2)),
+        players=tables.players.unionByName(tables.players.filter(F.col("player_key") % 3 == 0)),
+        teams=tables.teams.unionByName(tables.teams.filter(F.col("team_key") == 2)),
+    )
+
+
+def _restarted(job: Callable[[DataFrame], DataFrame]) -> Query:
+    """The events with ids that start anew for each user, far apart, and clocks that run backwards now and then."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        events = spark.read.parquet(f"{sf_dir}/events.parquet")
+        per_user = Window.partitionBy("user_id").orderBy("event_id")
+        late = F.col("ts") - F.make_dt_interval(hours=(F.col("event_id") * 13 % 29).cast("int"))
+        return job(
+            events.withColumn("event_number", F.row_number().over(per_user) * 1_000_003)
+            .withColumn("ts", late)
+            .withColumn("event_id", F.col("event_number").cast("long"))
+            .drop("event_number")
+        )
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     by_type = marts.shot_rate_by_win_type
     return {
@@ -262,8 +322,14 @@ def queries() -> dict[str, Query]:
         "end_reason_team": _on_wins(marts.end_reasons, team="North"),
         "end_reason_shares": _on_wins(marts.end_reason_shares),
         "headline_rate": _on_layers(lambda t: marts.headline(t.win_tables)),
-        "top_low_volume_player": _on_layers(lambda t: marts.lowest_volume_player(t.win_tables, below=1000)),
+        "top_low_volume_player": _on_layers(lambda t: marts.lowest_volume_player(t.win_tables)),
         "dq_report_tables": _on_layers(checks.table_checks),
+        "dq_report_tables_broken": _on_layers(lambda t: checks.table_checks(_broken(t))),
+        "known_totals": _on_layers(
+            lambda t: checks.known_total_checks(
+                t, check_sql.KNOWN_ROWS, check_sql.KNOWN_RATE, check_sql.KNOWN_TOTALS
+            )
+        ),
         "dq_report_marts": _on_layers(_report_checks),
         "profile_shape": _on_raw(P.shape),
         "profile_nulls": _on_raw(P.nulls),
@@ -276,6 +342,10 @@ def queries() -> dict[str, Query]:
         "profile_head": _on_raw(lambda raw: P.head(raw, "event_id", 5)),
         "native_previous_event": _on_users(activity.previous_event),
         "native_click_to_purchase": _on_users(activity.click_outcomes),
+        "native_click_restarted": _restarted(activity.click_outcomes),
+        "native_click_restarted_split": _restarted(
+            lambda e: activity.click_outcomes(e, limits=Limits(group_rows=60, chunk_rows=16, one_task_rows=500))
+        ),
         "native_click_to_purchase_split": _on_users(
             lambda e: activity.click_outcomes(e, limits=Limits(group_rows=60, chunk_rows=512))
         ),

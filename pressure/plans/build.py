@@ -14,7 +14,7 @@ from pressure.plans.facts import fact_events
 from pressure.plans.marts import WinTables, win_counts
 from pressure.plans.wins import fact_puck_wins
 from pressure.sources.csv_log import ingest_events
-from pressure.sources.scratch import keep, mark, release
+from pressure.sources.scratch import keep, scope
 from pressure.sources.tables import attach_tables, create_layers, dense_ids, missing, replace_table
 
 Save = Callable[[DataFrame, str], DataFrame]
@@ -74,12 +74,16 @@ def build_scratch(raw: DataFrame, rules: Rules = RULES, limits: Limits = LIMITS)
 
 
 def load_sources(
-    spark: SparkSession, sources: dict[str, str], root: str | None = None, limits: Limits = LIMITS
+    spark: SparkSession,
+    sources: dict[str, str],
+    root: str | None = None,
+    limits: Limits = LIMITS,
+    multi_line: bool = False,
 ) -> dict[str, DataFrame]:
     """Stages each CSV path under its table name, with file-order ids."""
     staged = {}
     for path, table in sources.items():
-        rows = replace_table(ingest_events(spark, path, limits), table, root)
+        rows = replace_table(ingest_events(spark, path, limits, multi_line), table, root)
         if not dense_ids(rows, "event_id"):
             raise RuntimeError(f"row ids of {table} are not 1..n: the files changed while they were read")
         staged[table] = rows
@@ -87,15 +91,18 @@ def load_sources(
 
 
 def build_all(
-    spark: SparkSession, csv_path: str, root: str | None = None, rules: Rules = RULES, limits: Limits = LIMITS
+    spark: SparkSession,
+    csv_path: str,
+    root: str | None = None,
+    rules: Rules = RULES,
+    limits: Limits = LIMITS,
+    multi_line: bool = False,
 ) -> Layers:
-    """CSV -> catalog tables, replacing what was there; intermediate tables are deleted."""
+    """CSV -> catalog tables, replacing what was there; intermediate tables are deleted, also after a failure."""
     create_layers(spark)
-    start = mark()
-    raw = load_sources(spark, {csv_path: STAGED}, root, limits)[STAGED]
-    built = build_layers(raw, lambda df, name: replace_table(df, name, root), rules, limits)
-    release(spark, start)
-    return built
+    with scope(spark):
+        raw = load_sources(spark, {csv_path: STAGED}, root, limits, multi_line)[STAGED]
+        return build_layers(raw, lambda df, name: replace_table(df, name, root), rules, limits)
 
 
 def open_layers(spark: SparkSession) -> Layers:

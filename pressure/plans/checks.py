@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from pressure.operators import quality as Q
 from pressure.plans import marts as M
 from pressure.plans.build import Layers
 from pressure.plans.clean import kept_events, unique_events
+from pressure.sources.scratch import keep
 
 
 def table_checks(layers: Layers, rules: Rules = RULES) -> DataFrame:
@@ -90,20 +93,6 @@ def known_total_checks(layers: Layers, rows: dict[str, int], rate: float, totals
     )
 
 
-def _matches(filters: M.Filters) -> Column:
-    tests = {
-        "team_name": filters.team,
-        "player_name": filters.player,
-        "strength_state": filters.strength,
-        "win_type": filters.win_type,
-    }
-    passed = F.lit(True)
-    for column, wanted in tests.items():
-        if wanted is not None:
-            passed = passed & (F.col(column) == wanted)
-    return passed
-
-
 def filter_name(filters: M.Filters) -> str:
     given = {k: v for k, v in vars(filters).items() if v is not None}
     return ", ".join(f"{k}={v}" for k, v in given.items()) or "no filter"
@@ -112,12 +101,12 @@ def filter_name(filters: M.Filters) -> str:
 def breakdown_checks(tables: M.WinTables, filter_sets: list[M.Filters]) -> DataFrame:
     """Per filter set: do cells, win types and end reasons add up to the summary?
 
-    All sets are counted together: each counted win is tagged with the sets it belongs to.
-    A set that selects nothing stays in the report with totals of 0.
+    All sets are counted together: each counted win is tagged with the sets whose filters it passes, by
+    the test the reports use, and written once. A set that selects nothing stays in the report with totals of 0.
     """
     names = F.array(*[F.lit(filter_name(f)) for f in filter_sets])
-    tags = F.array_compact(F.array(*[F.when(_matches(f), F.lit(filter_name(f))) for f in filter_sets]))
-    tagged = M.selected(tables).withColumn("filters", F.explode(tags))
+    tags = F.array_compact(F.array(*[F.when(M.passes(f), F.lit(filter_name(f))) for f in filter_sets]))
+    tagged = keep(M.named(tables).withColumn("filters", F.explode(tags)), "tagged-wins")
     summary = M.totals(tagged, "filters").select("filters", "wins", "shots")
     cells = M.cells(tagged, "filters").groupBy("filters").agg(F.sum("n").alias("cell_wins"))
     types = M.types(tagged, "filters").groupBy("filters").agg(F.sum("wins").alias("type_wins"))
@@ -156,32 +145,43 @@ def breakdown_checks(tables: M.WinTables, filter_sets: list[M.Filters]) -> DataF
 
 def win_type_checks(tables: M.WinTables) -> DataFrame:
     """A summary filtered to one win type agrees with that type's row of the comparison."""
-    tagged = M.selected(tables).withColumn("filters", F.col("win_type"))
-    alone = M.totals(tagged, "filters").select("filters", F.col("wins").alias("alone"))
-    compared = M.types(M.selected(tables)).select(F.col("win_type").alias("filters"), "wins")
-    differ = ~F.col("alone").eqNullSafe(F.col("wins"))
-    return compared.join(alone, "filters", "full").select(
-        F.concat(F.lit("win type agrees: "), "filters").alias("check"),
-        F.coalesce("wins", F.lit(0)).alias("checked"),
-        differ.cast("long").alias("violations"),
+    compared = M.shot_rate_by_win_type(tables).select("win_type", "wins")
+    alone = [
+        M.summary(tables, M.Filters(win_type=name)).select(F.lit(name).alias("win_type"), F.col("wins").alias("alone"))
+        for name in WIN_TYPES
+    ]
+    return compared.join(reduce(DataFrame.unionByName, alone), "win_type", "left").select(
+        F.concat(F.lit("win type agrees: "), "win_type").alias("check"),
+        F.col("wins").alias("checked"),
+        (~F.col("alone").eqNullSafe(F.col("wins"))).cast("long").alias("violations"),
     )
 
 
-def table_minimum_checks(tables: M.WinTables, filter_sets: list[M.Filters], rules: Rules = RULES) -> DataFrame:
-    """No listed player is below the minimum that goes with the filters."""
-    return Q.report(
-        [
-            Q.rows_where(
-                M.player_table(tables, f, rules),
-                {f"table minimum: {filter_name(f)}": F.col("OZ Wins") < M.table_minimum(f, rules)},
-            )
-            for f in filter_sets
-        ]
-    )
+def table_minimum_checks(
+    tables: M.WinTables, minimum_sets: list[tuple[M.Filters, int]], rules: Rules = RULES
+) -> DataFrame:
+    """The table lists exactly the players who have the wins that are asked for; `minimum_sets` says how many that is."""
+
+    def one(filters: M.Filters, minimum: int) -> DataFrame:
+        listed = M.player_table(tables, filters, rules).select("Player", "Team", F.lit(True).alias("listed"))
+        wins = M.named(tables).filter(M.passes(filters)).groupBy(F.col("player_name").alias("Player"), F.col("player_team").alias("Team"))
+        due = wins.agg(F.sum("n").alias("n")).filter(F.col("n") >= minimum)
+        same = [listed[c].eqNullSafe(due[c]) for c in ("Player", "Team")]
+        both = listed.join(due, same[0] & same[1], "full")
+        return both.agg(
+            F.lit(f"table minimum: {filter_name(filters)}").alias("check"),
+            F.count("listed").alias("checked"),
+            F.count_if(F.col("listed").isNull() | F.col("n").isNull()).alias("violations"),
+        )
+
+    return Q.report([one(f, n) for f, n in minimum_sets])
 
 
 def report_checks(
-    tables: M.WinTables, filter_sets: list[M.Filters], minimum_sets: list[M.Filters], rules: Rules = RULES
+    tables: M.WinTables,
+    filter_sets: list[M.Filters],
+    minimum_sets: list[tuple[M.Filters, int]],
+    rules: Rules = RULES,
 ) -> DataFrame:
     return Q.report(
         [

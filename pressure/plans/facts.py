@@ -15,12 +15,12 @@ def game_clock(period: str, elapsed: str, rules: Rules = RULES) -> Column:
 
 
 def _spread(name: str) -> Column:
-    """The name, or one of many stand-ins if there is none.
+    """The name, or a stand-in of the row's own if there is none.
 
     Most events have no second player. Joined by a null name they would all land in one task;
     the join asks for a known name besides, so a stand-in never matches.
     """
-    stand_in = F.concat(F.lit("no player "), (F.col("event_id") % 1009).cast("string"))
+    stand_in = F.concat(F.lit("no player "), F.col("event_id").cast("string"))
     return F.coalesce(F.col(name), stand_in)
 
 

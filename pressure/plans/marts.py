@@ -54,22 +54,33 @@ def win_counts(wins: DataFrame, rules: Rules = RULES) -> DataFrame:
     )
 
 
-def selected(tables: WinTables, filters: Filters = NO_FILTERS) -> DataFrame:
-    """Counted wins of known teams and players that pass the filters."""
+def passes(filters: Filters) -> Column:
+    """Whether a counted win, with its names, passes the filters."""
+    wanted = {
+        "team_name": filters.team,
+        "player_name": filters.player,
+        "strength_state": filters.strength,
+        "win_type": filters.win_type,
+    }
+    passed = F.lit(True)
+    for column, value in wanted.items():
+        if value is not None:
+            passed = passed & (F.col(column) == value)
+    return passed
+
+
+def named(tables: WinTables) -> DataFrame:
+    """Counted wins of known teams and players, with their names."""
     teams = tables.teams.select(F.col("team_key").alias("event_team_key"), "team_name")
     players = tables.players.select(
         F.col("player_key").alias("event_player_key"), "player_name", F.col("team_name").alias("player_team")
     )
-    rows = tables.counts
-    if filters.strength is not None:
-        rows = rows.filter(F.col("strength_state") == filters.strength)
-    if filters.win_type is not None:
-        rows = rows.filter(F.col("win_type") == filters.win_type)
-    if filters.team is not None:
-        teams = teams.filter(F.col("team_name") == filters.team)
-    if filters.player is not None:
-        players = players.filter(F.col("player_name") == filters.player)
-    return rows.join(teams, "event_team_key").join(players, "event_player_key")
+    return tables.counts.join(teams, "event_team_key").join(players, "event_player_key")
+
+
+def selected(tables: WinTables, filters: Filters = NO_FILTERS) -> DataFrame:
+    """Those that pass the filters; Spark moves each filter to the table that has its column."""
+    return named(tables).filter(passes(filters))
 
 
 def _wins(condition: Column | None = None) -> Column:

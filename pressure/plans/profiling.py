@@ -43,20 +43,20 @@ def profile_file(spark: SparkSession, path: str) -> Profile:
 def profile_folder(spark: SparkSession, path: str, first: int = 3) -> dict[str, DataFrame]:
     """Rows, event counts, coordinate extents and first clocks per file; the files are read once."""
     df = with_file_order(read_csv_by_file(spark, path))
-    rows = df.groupBy("file_name").agg(F.count("*").alias("rows"), F.min("event_id").alias("_start"))
+    rows = df.groupBy("file").agg(F.count("*").alias("rows"), F.min("event_id").alias("_start"))
     return {
-        "rows": rows.select("file_name", "rows"),
+        "rows": rows.select("file", "rows"),
         "events": df.filter(F.col("Event").isNotNull())
-        .groupBy("file_name", "Event")
+        .groupBy("file", "Event")
         .agg(F.count("*").alias("n"))
-        .orderBy("file_name", F.desc("n"), "Event"),
-        "extent": df.groupBy("file_name").agg(
+        .orderBy("file", F.desc("n"), "Event"),
+        "extent": df.groupBy("file").agg(
             *[agg(c).alias(f"{c} {n}") for c in COORDINATES for n, agg in (("min", F.min), ("max", F.max))]
         ),
         # One start per file, matched by id: no file is sorted for its first rows.
-        "clocks": rows.select(F.explode(F.sequence("_start", F.col("_start") + first - 1)).alias("event_id"), F.col("file_name").alias("_file"))
-        .join(df.select("event_id", "file_name", "Clock"), "event_id")
-        .filter(F.col("_file") == F.col("file_name"))
-        .select("file_name", "event_id", "Clock")
+        "clocks": rows.select(F.explode(F.sequence("_start", F.col("_start") + first - 1)).alias("event_id"), F.col("file").alias("_file"))
+        .join(df.select("event_id", "file", "Clock"), "event_id")
+        .filter(F.col("_file") == F.col("file"))
+        .select("file", "event_id", "Clock")
         .orderBy("event_id"),
     }

@@ -31,9 +31,9 @@ def read_csv(
 
 
 def read_csv_by_file(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
-    """The rows with the name of the file each came from."""
+    """The rows with the path of the file each came from."""
     df = read_csv(spark, path, schema)
-    return df.withColumn("file_name", F.col("_metadata.file_name"))
+    return df.withColumn("file", F.col("_metadata.file_path"))
 
 
 def with_file_order(df: DataFrame, name: str = "event_id", limits: Limits = LIMITS) -> DataFrame:
@@ -63,12 +63,19 @@ def with_file_order(df: DataFrame, name: str = "event_id", limits: Limits = LIMI
         "_start",
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    if count <= limits.broadcast_rows:
-        shift = F.broadcast(shift)
-    return rows.join(shift, ["_path", "_start"]).select(
+    # Joined by a hash of path and place, so that a block is two integers, unless two blocks share one.
+    key = F.xxhash64("_path", "_start").alias("_block")
+    on = ["_path", "_start"]
+    if shift.select(key).distinct().count() == count:
+        rows, shift, on = rows.withColumn("_block", key), shift.select(key, "_shift"), ["_block"]
+        if count <= limits.broadcast_rows:
+            shift = F.broadcast(shift)
+    return rows.join(shift, on).select(
         (F.col("_place") + F.col("_shift")).alias(name), *[f"`{c}`" for c in df.columns]
     )
 
 
-def ingest_events(spark: SparkSession, path: str, limits: Limits = LIMITS) -> DataFrame:
-    return with_file_order(read_csv(spark, path), limits=limits)
+def ingest_events(
+    spark: SparkSession, path: str, limits: Limits = LIMITS, multi_line: bool = False
+) -> DataFrame:
+    return with_file_order(read_csv(spark, path, multi_line=multi_line), limits=limits)

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,14 +27,16 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-_WRITTEN: list[str] = []
+# Paths written inside the scopes that are open in this thread, innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Write the rows once and read them back."""
     spark = df.sparkSession
     path = new_folder(spark, label)
-    _WRITTEN.append(path)
+    for scope_paths in _SCOPES.get()[-1:]:
+        scope_paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -49,17 +54,21 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def mark() -> int:
-    """A point to go back to with `release`."""
-    return len(_WRITTEN)
-
-
-def release(spark: SparkSession, since: int) -> None:
-    """Deletes the tables kept since `mark`; only for when nothing reads them any more."""
-    for path in _WRITTEN[since:]:
-        system, where = _files(spark, path)
-        system.delete(where, True)
-    del _WRITTEN[since:]
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables kept inside it at the end, also after a failure.
+
+    Nothing may read them later. Scopes of other threads, and the ones around this one, keep theirs.
+    """
+    paths: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), paths))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(token)
+        for path in paths:
+            system, where = _files(spark, path)
+            system.delete(where, True)
 
 
 def _files(spark: SparkSession, path: str):

@@ -56,7 +56,7 @@ def test_broken_tables_fail(spark, layers):
 
 
 def test_known_totals(layers):
-    rows = {"raw": 10104, "clean": 8750, "games": 35, "teams": 4, "players": 48, "events": 8750, "wins": 1188}
+    rows = {"raw": 10104, "clean": 8750, "games": 35, "teams": 4, "players": 142, "events": 8750, "wins": 1188}
     totals = {"wins": 1188, "recoveries": 1026, "takeaways": 162, "shots": 148, "goals": 37, "rebound_goals": 1}
     good = C.known_total_checks(layers, rows, 0.125, totals).collect()
     assert len(good) == 14 and all(r["violations"] == 0 for r in good)

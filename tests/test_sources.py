@@ -2,12 +2,12 @@ from __future__ import annotations
 
 import pytest
 
+from fixture_log import raw_log
 from pressure.config import Limits
 from pressure.plans import build as B
 from pressure.plans.profiling import profile_file, profile_folder
 from pressure.sources import tables as T
 from pressure.sources.csv_log import ingest_events, read_csv
-from pressure.sources.event_log import raw_log
 from pressure.sources.scratch import shared_dir
 from pressure.sources.schemas import RAW_COLUMNS
 
@@ -122,12 +122,12 @@ def test_dense_ids(spark):
 
 def test_profile_reads_files_by_name(spark, folder):
     parts = profile_folder(spark, folder)
-    rows = {r["file_name"]: r["rows"] for r in parts["rows"].collect()}
+    rows = {r["file"]: r["rows"] for r in parts["rows"].collect()}
     assert len(rows) == 3 and sum(rows.values()) == 10104
     assert sum(r["n"] for r in parts["events"].collect()) == 10104
     assert parts["extent"].columns[1:] == ["X Coordinate min", "X Coordinate max", "Y Coordinate min", "Y Coordinate max"]
     clocks = parts["clocks"].collect()
-    assert [r["event_id"] for r in clocks][:4] == [1, 2, 3, rows[clocks[0]["file_name"]] + 1] and len(clocks) == 9
+    assert [r["event_id"] for r in clocks][:4] == [1, 2, 3, rows[clocks[0]["file"]] + 1] and len(clocks) == 9
     whole = profile_file(spark, folder)
     assert dict(whole.columns)["Clock"] == "string" and whole.describe.count() == 9
     assert tuple(whole.shape.first()) == (10104, 21)
@@ -137,3 +137,38 @@ def test_profile_reads_files_by_name(spark, folder):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    values = [{"Event": '"Dump\nIn/Out"', "Period": "1"}, {"Event": "Shot", "Period": "2"}, {"Event": '"a ""b""\n\nc"', "Period": "3"}]
+    (tmp_path / "a.csv").write_text(",".join(RAW_COLUMNS) + "\n" + "".join(line(v, RAW_COLUMNS) for v in values))
+    rows = ingest_events(spark, str(tmp_path), multi_line=True).orderBy("event_id").collect()
+    assert [(r["event_id"], r["Event"]) for r in rows] == [(1, "Dump\nIn/Out"), (2, "Shot"), (3, 'a "b"\n\nc')]
+    T.create_layers(spark)
+    staged = B.load_sources(spark, {str(tmp_path): "staging.breaks"}, str(tmp_path / "tables"), multi_line=True)
+    assert staged["staging.breaks"].count() == 3
+
+
+def test_scopes_delete_what_was_kept_in_them_also_after_a_failure(spark):
+    from pressure.sources.scratch import keep, scope
+
+    def there(df):
+        path = df.inputFiles()[0].rsplit("/", 1)[0]
+        return lambda: spark.sparkContext._jvm.java.io.File(path.removeprefix("file://").removeprefix("file:")).exists()
+
+    outer = there(keep(spark.range(3), "outer"))
+    with scope(spark):
+        first = there(keep(spark.range(3), "first"))
+        with pytest.raises(ZeroDivisionError), scope(spark):
+            second = there(keep(spark.range(3), "second"))
+            assert second() and 1 / 0
+        assert first() and not second()
+    assert outer() and not first()
+
+
+def test_files_of_one_name_in_two_folders_stay_apart(spark, tmp_path):
+    for name, n in (("x", 2), ("y", 3)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.csv").write_text(",".join(RAW_COLUMNS) + "\n" + line({"Event": "Shot"}, RAW_COLUMNS) * n)
+    rows = profile_folder(spark, str(tmp_path / "*"))["rows"].collect()
+    assert sorted(r["rows"] for r in rows) == [2, 3]
