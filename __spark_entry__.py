@@ -7,6 +7,7 @@ import os
 import sys
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,8 +24,8 @@ from pressure.functions import expressions as X
 from pressure.operators import profile as P
 from pressure.operators.dedup import extra_copies
 from pressure.plans import activity, checks, clean, dims, marts, wins
-from pressure.plans.build import Layers, build_scratch
-from pressure.plans.profiling import COORDINATES
+from pressure.plans.build import STAGED, TABLES, Layers, build_all, build_if_absent, build_scratch
+from pressure.plans.profiling import COORDINATES, profile_folder
 from pressure.sources.csv_log import ingest_events
 from pressure.sources.scratch import file_state, new_folder
 
@@ -113,13 +114,49 @@ def _on_users(job: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: job(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
-def _through_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes the raw log as CSV files in id order and ingests those."""
+PLAIN_CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def _as_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Writes the raw log as CSV files in id order; returns their folder."""
     folder = new_folder(spark, "csv")
-    log = raw_log(spark, sf_dir).orderBy("event_id").drop("event_id")
-    plain = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    log.write.options(**plain).csv(folder)
-    return ingest_events(spark, folder)
+    raw_log(spark, sf_dir).orderBy("event_id").drop("event_id").write.options(**PLAIN_CSV).csv(folder)
+    return folder
+
+
+def _through_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest_events(spark, _as_csv(spark, sf_dir))
+
+
+def _catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The build a user runs, from CSV files into catalog tables: rows of each."""
+    build_all(spark, _as_csv(spark, sf_dir), new_folder(spark, "tables"))
+    names = (STAGED, *TABLES)
+    counted = [spark.table(name).agg(F.lit(name).alias("table"), F.count("*").alias("rows")) for name in names]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def _catalog_reopened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A summary from tables that were built before, dropped from the catalog, and found again under their root."""
+    root = new_folder(spark, "tables")
+    build_all(spark, _as_csv(spark, sf_dir), root)
+    for name in (STAGED, *TABLES):
+        spark.sql(f"DROP TABLE {name}")
+    return marts.summary(build_if_absent(spark, "/nowhere", root).win_tables)
+
+
+def _file_profile(part: str) -> Query:
+    """The profile of each of several files, all of one name, in folders of their own."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = new_folder(spark, "files")
+        log = raw_log(spark, sf_dir).withColumn("part", F.col("event_id") % 3)
+        log.drop("event_id").repartition("part").write.partitionBy("part").options(**PLAIN_CSV).csv(folder)
+        rows = profile_folder(spark, f"{folder}/part=*")[part]
+        number = F.regexp_extract("file", "part=([0-9]+)", 1).cast("int")
+        return rows.withColumn("part", number).drop("file")
+
+    return run
 
 
 def _leagues(raw: DataFrame) -> DataFrame:
@@ -268,6 +305,11 @@ def queries() -> dict[str, Query]:
     return {
         "raw_events": raw_log,
         "ingest_csv": _through_csv,
+        "catalog_rows": _catalog_rows,
+        "catalog_reopened": _catalog_reopened,
+        "profile_file_rows": _file_profile("rows"),
+        "profile_file_events": _file_profile("events"),
+        "profile_file_extent": _file_profile("extent"),
         "league_filter": _on_raw(_leagues),
         "clean_events": _on_raw(clean.clean_events),
         "clean_dedup_removed": _on_layers(_removed),

@@ -38,6 +38,33 @@ def same_row_count(check: str, left: DataFrame, right: DataFrame) -> DataFrame:
     return sides.agg(*_result(check, F.count_if(F.col("d") == 1), F.abs(F.sum("d"))))
 
 
+Counts = dict[str, tuple[Column, Column]]
+
+
+def tally(parts: Sequence[tuple[DataFrame, Counts]]) -> DataFrame:
+    """Checks whose counts come from several tables, each table read once.
+
+    A part gives, by check, aggregates of its table: rows checked, and a signed number. The violations of a
+    check are the absolute sum of its signed numbers: how far tables are apart, or rows that break a rule.
+    """
+    counted = [
+        df.agg(*[F.struct(checked.alias("c"), signed.alias("d")).alias(f"_{i}") for i, (checked, signed) in enumerate(counts.values())]).select(
+            F.inline(
+                F.array(
+                    *[
+                        F.struct(F.lit(name).alias("check"), F.col(f"_{i}.c").cast("long").alias("c"), F.col(f"_{i}.d").cast("long").alias("d"))
+                        for i, name in enumerate(counts)
+                    ]
+                )
+            )
+        )
+        for df, counts in parts
+    ]
+    return reduce(DataFrame.unionAll, counted).groupBy("check").agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("checked"), F.abs(F.coalesce(F.sum("d"), F.lit(0))).alias("violations")
+    )
+
+
 def unique_key(check: str, df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Groups of rows that share a key."""
     groups = df.groupBy(*key).agg(F.count("*").alias("_n"))

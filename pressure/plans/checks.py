@@ -22,16 +22,52 @@ def table_checks(layers: Layers, rules: Rules = RULES) -> DataFrame:
     elapsed, x = F.col("period_elapsed"), F.col("x_coord")
     own, other = F.col("event_team_key"), F.col("opponent_team_key")
     games = kept_events(layers.raw, rules).select("game_date", "Home Team", "Away Team").distinct()
+    none, n = F.lit(0), F.count("*")
+
+    def rows(broken: dict[str, Column]) -> Q.Counts:
+        return {name: (n, F.count_if(condition)) for name, condition in broken.items()}
+
+    copies = "clean rows are the kept rows without copies"
+    one_game = "one game per date and pair of teams"
+    one_win = "one win per offensive-zone recovery or takeaway"
+    one_fact = "one fact per clean event"
+    is_win = (F.col("zone") == "OZ") & F.col("event").isin(*rules.win_events)
+    of_clean = rows(
+        {"elapsed time inside the period": elapsed.isNull() | (elapsed < 0) | (elapsed > rules.period_seconds)}
+    )
+    of_events = rows(
+        {
+            "game key present": F.col("game_key").isNull(),
+            "team key present": own.isNull(),
+            "opponent key present": other.isNull(),
+            "player key present": F.col("event_player_key").isNull(),
+            "team is not its opponent": own == other,
+        }
+    )
+    of_wins = rows(
+        {
+            "win lies in the offensive zone": x.isNull() | (x < rules.offensive_from_x),
+            "credited shot has an id": led & shot.isNull(),
+            "no shot id without a credited shot": ~led & shot.isNotNull(),
+            "shot falls inside the window": led & (seconds.isNull() | (seconds < 0) | (seconds > rules.window_seconds)),
+            "end reason agrees with the shot flag": ~(F.col("end_reason") == "shot").eqNullSafe(led),
+            "win event known": Q.outside("event", rules.win_events),
+            "win type known": Q.outside("win_type", WIN_TYPES),
+            "end reason known": Q.outside("end_reason", list(END_REASON_LABELS)),
+        }
+    )
     return Q.report(
         [
-            Q.same_row_count("clean rows are the kept rows without copies", clean, unique_events(layers.raw, rules)),
-            Q.same_row_count("one game per date and pair of teams", layers.games, games),
-            Q.same_row_count(
-                "one win per offensive-zone recovery or takeaway",
-                wins,
-                clean.filter((F.col("zone") == "OZ") & F.col("event").isin(*rules.win_events)),
+            Q.tally(
+                [
+                    (clean, {copies: (n, n), one_win: (none, -F.count_if(is_win)), one_fact: (none, -n), **of_clean}),
+                    (unique_events(layers.raw, rules), {copies: (none, -n)}),
+                    (layers.games, {one_game: (n, n)}),
+                    (games, {one_game: (none, -n)}),
+                    (events, {one_fact: (n, n), **of_events}),
+                    (wins, {one_win: (n, n), **of_wins}),
+                ]
             ),
-            Q.same_row_count("one fact per clean event", events, clean),
             Q.unique_rows("clean rows differ in more than the id", clean, "event_id"),
             Q.unique_key("one row per player and team", layers.players, ["player_name", "team_name"]),
             Q.unique_key("one row per team", layers.teams, ["team_name"]),
@@ -40,38 +76,6 @@ def table_checks(layers: Layers, rules: Rules = RULES) -> DataFrame:
                 "second player key present with second player",
                 events, "event_player2_key", clean, "player_2", "event_id",
             ),
-            Q.rows_where(
-                clean,
-                {
-                    "elapsed time inside the period": elapsed.isNull()
-                    | (elapsed < 0)
-                    | (elapsed > rules.period_seconds)
-                },
-            ),
-            Q.rows_where(
-                events,
-                {
-                    "game key present": F.col("game_key").isNull(),
-                    "team key present": own.isNull(),
-                    "opponent key present": other.isNull(),
-                    "player key present": F.col("event_player_key").isNull(),
-                    "team is not its opponent": own == other,
-                },
-            ),
-            Q.rows_where(
-                wins,
-                {
-                    "win lies in the offensive zone": x.isNull() | (x < rules.offensive_from_x),
-                    "credited shot has an id": led & shot.isNull(),
-                    "no shot id without a credited shot": ~led & shot.isNotNull(),
-                    "shot falls inside the window": led
-                    & (seconds.isNull() | (seconds < 0) | (seconds > rules.window_seconds)),
-                    "end reason agrees with the shot flag": ~(F.col("end_reason") == "shot").eqNullSafe(led),
-                    "win event known": Q.outside("event", rules.win_events),
-                    "win type known": Q.outside("win_type", WIN_TYPES),
-                    "end reason known": Q.outside("end_reason", list(END_REASON_LABELS)),
-                },
-            ),
             Q.accepted_values("strength known", clean, "strength_state", STRENGTHS),
         ]
     )
