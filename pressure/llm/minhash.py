@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressure.llm.common import slices, unused
+from pressure.llm.common import slices
 from pressure.llm.components import components
 from pressure.sources.scratch import keep
 
@@ -378,12 +378,17 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
     Rows with a null id or an empty text stay. Of several rows with one id the first by all columns stays.
     """
-    judged = keep(near_duplicates(docs, id_column, text_column), "judged")
-    ids = judged.where(F.col(id_column).isNotNull())
-    gone = ids.where("NOT kept").select(id_column).distinct()
-    kept = docs.join(gone, id_column, "left_anti").select(docs.columns)
-    repeated = ids.where("kept").groupBy(id_column).count().where("count > 1").select(id_column)
-    nth = unused(docs, "nth")
-    order = Window.partitionBy(id_column).orderBy(*[F.col(f"`{c}`") for c in docs.columns])
-    first = kept.join(repeated, id_column, "left_semi").withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1)
-    return kept.join(repeated, id_column, "left_anti").select(docs.columns).unionByName(first.select(docs.columns))
+    judged = near_duplicates(docs, id_column, text_column).where(F.col(id_column).isNotNull())
+    by_id = judged.groupBy(F.col(id_column).alias("__id")).agg(F.max("kept").alias("__kept"), F.count("*").alias("__rows"))
+    by_id = keep(by_id, "judged")
+    identified = docs.where(F.col(id_column).isNotNull())
+    # The rows are shuffled once, at every size: what stays is a table as long as theirs, so it is not broadcast.
+    single = by_id.select("__id", (F.col("__kept") & (F.col("__rows") == 1)).alias("__stays"))
+    kept = identified.join(single.hint("shuffle_hash"), F.col(id_column) == F.col("__id")).where("__stays").select(docs.columns)
+    kept = kept.unionByName(docs.where(F.col(id_column).isNull()))
+    repeated = by_id.where("__kept AND __rows > 1").select("__id")
+    if repeated.isEmpty():
+        return kept
+    again = identified.join(repeated, F.col(id_column) == F.col("__id"), "left_semi")
+    first = again.groupBy(F.col(id_column).alias("__id")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row"))
+    return kept.unionByName(first.select("__row.*"))
