@@ -344,7 +344,8 @@ def links(docs: DataFrame, members: DataFrame, id_column: str, text_column: str,
     sizes = members.groupBy("component").agg(many.alias("blocks"))
     dealt = members.select("id", "component").join(sizes, "component")
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    texts = read.join(dealt, "id").select("id", "component", "blocks", "text")
+    # Members are a share of all documents, so this is a shuffle at every size, never a broadcast.
+    texts = read.join(dealt.hint("shuffle_hash"), "id").select("id", "component", "blocks", "text")
     kind = docs.schema[id_column].dataType.simpleString()
     sets = texts.mapInArrow(_sets, f"id {kind}, component {kind}, blocks long, shingles binary")
     return _in_blocks(sets, "component", "blocks").select("component", "p", "q", "id", "shingles").mapInArrow(_linked, schema)
