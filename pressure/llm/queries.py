@@ -73,5 +73,46 @@ def queries() -> dict:
     }
 
 
+# Links of every pair, and the smallest id that each node reaches over them; `node` and `link` are given before.
+_REACHED = """
+both_ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+walk(id, root) AS (SELECT id, id FROM node UNION SELECT w.id, l.b FROM walk w JOIN both_ways l ON l.a = w.root),
+reached AS (SELECT id, min(root) AS component_id FROM walk GROUP BY id)"""
+
+NEAR_DUPLICATE_TEXTS = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id AS id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingle AS (
+  SELECT DISTINCT id, CASE WHEN len(w) < 5 THEN w ELSE w[i:i + 4] END AS s
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM words)),
+node AS (SELECT w.id, count(s.id) AS n FROM words w LEFT JOIN shingle s USING (id) GROUP BY w.id),
+met AS (SELECT x.id AS a, y.id AS b, count(*) AS shared FROM shingle x JOIN shingle y ON x.s = y.s AND x.id < y.id GROUP BY ALL),
+link AS (SELECT a, b FROM met JOIN node x ON x.id = a JOIN node y ON y.id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+{_REACHED}
+SELECT id AS doc_id, n AS n_shingles, component_id, id = component_id AS kept FROM node JOIN reached USING (id)
+"""
+
+NEAR_DUPLICATE_VECTORS = f"""
+WITH RECURSIVE node AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS v FROM embeddings),
+fit AS (
+  SELECT id, label, v FROM node
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT x.id AS a, y.id AS b FROM fit x JOIN fit y ON x.label = y.label AND x.id < y.id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.98),
+{_REACHED},
+linked AS (SELECT a AS id, count(*) AS n FROM both_ways GROUP BY a)
+SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept
+FROM node JOIN reached USING (id) LEFT JOIN linked USING (id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_licenses": licenses.oracle_sql()}
+    return {
+        "op5_minhash": NEAR_DUPLICATE_TEXTS,
+        "op7_caps": NEAR_DUPLICATE_VECTORS,
+        "op9_licenses": licenses.oracle_sql(),
+    }
