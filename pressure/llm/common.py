@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Characters that a task expands into arrays at one time; a longer text is a slice of its own.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

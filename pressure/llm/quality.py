@@ -129,12 +129,14 @@ def train(texts: list[str], grades: list[int], values: list[int], rounds: int =
     for a, b in slices(np.fromiter(map(len, texts), np.int64, n)):
         owner, feature, share = features(texts[a:b])
         keys, at = np.unique(owner * FEATURES + feature, return_inverse=True)
-        parts.append((keys // FEATURES + a, keys % FEATURES, np.bincount(at, share)))
+        counted = np.bincount(at, share).astype(np.float32)
+        parts.append(((keys // FEATURES + a).astype(np.int32), (keys % FEATURES).astype(np.int32), counted))
     owner, feature, share = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
     mean = np.bincount(feature, share, FEATURES) / n
     spread_of = np.sqrt(np.maximum(np.bincount(feature, share * share, FEATURES) / n - mean * mean, 0))
     scale = np.where(spread_of > 0, 1 / (spread_of + LEAST_SPREAD), 0)
-    x = share * scale[feature]
+    x = share * scale.astype(np.float32)[feature]
     centre = mean * scale
     weights = np.zeros(FEATURES)
     first, steps = thresholds[0], np.log(np.maximum(np.diff(thresholds), 1e-2))  # ordered: first + sums of exp(steps)
