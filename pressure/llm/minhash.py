@@ -361,7 +361,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     several = keep(classes.where("rows > 1").select("class_key", "first"), "classes")
     again = known.select("id", "class_key").join(several, "class_key").where("id != first")
     copies = keep(again.distinct(), "copies")
-    family = families(known.join(copies, ["id", "class_key"], "left_anti"), known, schema)
+    # Copies are a share of all documents, so this is a shuffle at every size as well.
+    firsts = known.join(copies.hint("shuffle_hash"), ["id", "class_key"], "left_anti")
+    family = families(firsts, known, schema)
     members = known.select("id", "n_shingles").distinct().join(family, "id")
     found = links(docs, members, id_column, text_column, schema)
     all_links = found.unionAll(copies.select(F.col("id").alias("a"), F.col("first").alias("b")))
