@@ -230,7 +230,8 @@ def _similar_in_runs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     close = (signature == signature[first]).mean(1) >= need
     one, two = [first[close]], [np.flatnonzero(close)]
     far = np.add.reduceat(~close, starts)
-    for a, n in zip(starts[far > 1].tolist(), size[far > 1].tolist(), strict=True):  # one that is far from the first of two is done
+    more = (far > 0) & (size > 2)  # one that is far from the first of two is done; among more, it may be close to another
+    for a, n in zip(starts[more].tolist(), size[more].tolist(), strict=True):
         own, forest = signature[a : a + n], _Forest(n)
         for i in np.flatnonzero(close[a : a + n]).tolist():
             forest.join(0, i)

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +117,25 @@ def test_text_ids(spark):
     docs = spark.createDataFrame([("b", words(30, 1)), ("a", words(30, 1)), ("c", words(30, 2))], "name string, body string")
     got = minhash.near_duplicates(docs.withColumn("u", F.lit(1)), "name", "body").collect()
     assert {r["name"]: r["component_id"] for r in got} == {"a": "a", "b": "a", "c": "c"}
+
+
+def test_one_member_far_from_the_first():
+    """In a bucket (first, B, C) in which only C is far from the first, C still meets B; in a bucket of two it has nobody else."""
+    values = 2 * minhash.PERMUTATIONS
+    first = np.zeros(values, np.uint8)
+    b, c = first.copy(), first.copy()
+    b[: values // 5] = 1  # 0.8 of first
+    c[: 2 * values // 5] = 1  # 0.6 of first, 0.8 of B
+    rows = [(1, 10, first), (1, 11, b), (1, 12, c), (2, 20, first), (2, 21, c)]
+    table = pa.table(
+        {
+            "bucket": [r[0] for r in rows],
+            "p": [0] * len(rows),
+            "q": [0] * len(rows),
+            "id": [r[1] for r in rows],
+            "signature": pa.array([r[2].tobytes() for r in rows], pa.binary()),
+        }
+    )
+    one, two = minhash._similar_in_runs(table)
+    found = {frozenset((rows[i][1], rows[j][1])) for i, j in zip(one.tolist(), two.tolist(), strict=True) if i != j}
+    assert found == {frozenset((10, 11)), frozenset((11, 12))}
