@@ -59,12 +59,22 @@ SENTENCES = {
     "you may obtain a copy of the license at": "apache-copy",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl2-grant",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3-grant",
+    # The cut ends a unit at "free software;", the GPL-2.0 notice also at "Foundation;", and MPL-2.0 at "v.".
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl2-grant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3-grant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl-terms",
+    "either version 2 of the license or at your option any later version": "version2-or-later",
+    "either version 3 of the license or at your option any later version": "version3-or-later",
     "you should have received a copy of the gnu general public license along with this program": "gpl-copy",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-subject",
+    # What follows "v." is a unit of its own; of all versions only 2.0 speaks of a Source Code Form.
+    "this source code form is subject to the terms of the mozilla public license v": "mpl-subject",
     "this is free and unencumbered software released into the public domain": "unlicense-grant",
     "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work": "cc0-waiver",
 }
 
+# Between two identifiers of a rule: no other known unit may lie between them. (LGPL notices name their version in the same words.)
+NEXT = r"\| \|"
 # Licence, identifiers in the order in which they must occur.
 TEXT_RULES = [
     ("MIT", ("mit-grant", "mit-notice")),
@@ -73,14 +83,16 @@ TEXT_RULES = [
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
     ("Apache-2.0", ("apache-file", "apache-copy")),
     ("GPL-2.0", ("gpl2-grant",)),
+    ("GPL-2.0", (f"gpl-terms{NEXT}version2-or-later",)),
     ("GPL-3.0", ("gpl3-grant",)),
+    ("GPL-3.0", (f"gpl-terms{NEXT}version3-or-later",)),
     ("MPL-2.0", ("mpl-subject",)),
     ("Unlicense", ("unlicense-grant",)),
     ("CC0-1.0", ("cc0-waiver",)),
 ]
 
 # Every known unit holds one of these, so a text without any of them needs no closer look.
-ANCHORS = "licen[cs]ed|released|distributed|published|available|spdx|permission|redistribut|copyright|license|unencumbered|waived"
+ANCHORS = "licen[cs]ed|released|distributed|published|available|spdx|permission|redistribut|copyright|license|unencumbered|waived|noninfringement"
 # Characters that end a sentence when white space follows; an empty line ends one as well.
 SENTENCE_END = r"([.!?;:])(\s)"
 CUT = "\x01"

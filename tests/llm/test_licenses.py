@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import re
+import textwrap
+
 import pytest
 
 from pressure.llm import licenses
@@ -55,3 +58,62 @@ def test_odd_rows(table, request):
     rows = licenses.license_report(docs).collect()
     assert len(rows) == docs.count()
     assert {r["licenses"] for r in rows} <= {""}
+
+
+WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+GNU = """    This program is free software{after} you can redistribute it and/or modify
+    it under the terms of the GNU {kind}General Public License as published by
+    the Free Software Foundation{then} either version {n} of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU {kind}General Public License for more details.
+"""
+GPL2 = GNU.format(after=";", kind="", then=";", n=2)
+GPL3 = GNU.format(after=":", kind="", then=",", n=3)
+LGPL3 = GNU.format(after=";", kind="Lesser ", then=";", n=3)
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+UNLICENSE = """This is free and unencumbered software released into the public
+domain."""
+CC0 = """To the extent possible under law, the author has waived all copyright
+and related or neighboring rights to this work."""
+
+
+def wrapped(text: str) -> str:
+    return "\n".join("\n   ".join(textwrap.wrap(line, 60)) for line in text.split("\n"))
+
+
+HEADERS = [
+    (GPL2, "GPL-2.0"), (GPL3, "GPL-3.0"), (GNU.format(after=";", kind="", then=",", n=2), "GPL-2.0"),
+    (GNU.format(after=":", kind="", then=";", n=3), "GPL-3.0"), (" ".join(GPL2.split()), "GPL-2.0"), (MPL, "MPL-2.0"),
+    (LGPL3, ""), (GPL2 + "\n" + LGPL3, "GPL-2.0"), (MIT + "\n" + WARRANTY, "MIT"), (WARRANTY, ""), (wrapped(BSD2), "BSD-2-Clause"),
+    (wrapped(BSD2 + NAMES), "BSD-3-Clause"), (APACHE, "Apache-2.0"), (ISC, "ISC"), (UNLICENSE, "Unlicense"), (CC0, "CC0-1.0"),
+    ("\n".join(" * " + line for line in GPL2.splitlines()), "GPL-2.0"), ("\n".join("# " + line for line in MPL.splitlines()), "MPL-2.0"),
+]
+
+
+def test_wrapped_headers(spark):
+    assert {n for n, _ in licenses.TEXT_RULES} <= {want for _, want in HEADERS}
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(HEADERS)], "doc_id long, text string")
+    rows = licenses.license_report(docs).collect()
+    assert {r["doc_id"]: r["licenses"] for r in rows} == {i: want for i, (_, want) in enumerate(HEADERS)}
+    assert {HEADERS[r["doc_id"]][0]: r["n_found"] for r in rows}[WARRANTY] == 1
+
+
+def test_every_known_sentence_holds_an_anchor():
+    assert [s for s in licenses.SENTENCES if not re.search(licenses.ANCHORS, s)] == []
