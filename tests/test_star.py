@@ -60,7 +60,7 @@ def test_scores_and_winner(spark):
     rows = [raw_row(1, "Goal"), raw_row(2, "Goal", team="Blue"), raw_row(3, "Shot")]
     rows += [raw_row(10, "Goal", team="Blue", day=date(2020, 1, 2)), raw_row(11, " Goal ", day=date(2020, 1, 3))]
     games = built(spark, rows).games
-    assert games.columns == DIM_GAME_COLUMNS
+    assert games.columns == list(DIM_GAME_COLUMNS)
     assert [(r["home_score"], r["away_score"], r["total_game_goals"], r["winner"]) for r in games.orderBy("game_key").collect()] == [
         (1, 1, 2, "Shootout"),
         (0, 1, 1, "Blue"),
@@ -70,5 +70,5 @@ def test_scores_and_winner(spark):
 
 def test_game_clock_runs_on_over_periods(spark):
     t = built(spark, [raw_row(1, period=1, at=7), raw_row(2, period=4, at=7)])
-    assert t.events.columns == FACT_EVENT_COLUMNS
+    assert t.events.columns == list(FACT_EVENT_COLUMNS)
     assert {r["event_id"]: r["game_seconds"] for r in t.events.collect()} == {1: 7, 2: 3607}
