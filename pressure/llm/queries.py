@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressure.llm import ann, bpe, caps, extraction, licenses, minhash, packing, quality, sharding, toxicity
+from pressure.llm import ann, bpe, caps, extraction, licenses, minhash, packing, quality, sharding, structure, toxicity
 from pressure.llm.common import table
 
 # The rank file of the byte-level vocabulary.
@@ -58,6 +58,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.repair_report(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict:
     return {
         "op1_bpe": op1_bpe,
@@ -70,6 +74,7 @@ def queries() -> dict:
         "op8_extraction": op8_extraction,
         "op9_licenses": op9_licenses,
         "op10_toxicity": op10_toxicity,
+        "op11_structure": op11_structure,
     }
 
 
