@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressure.llm import ann, bpe, caps, extraction, licenses, minhash, packing, quality, sharding, structure, toxicity, trie
+from pressure.llm import ann, bpe, caps, extraction, licenses, minhash, packing, quality, rules, sharding, structure, toxicity, trie
 from pressure.llm.common import table
 
 # The rank file of the byte-level vocabulary.
@@ -62,6 +62,10 @@ def op11_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure.repair_report(table(spark, sf_dir, "conversations"))
 
 
+def op12_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.rule_report(table(spark, sf_dir, "documents"))
+
+
 def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -79,6 +83,7 @@ def queries() -> dict:
         "op9_licenses": op9_licenses,
         "op10_toxicity": op10_toxicity,
         "op11_structure": op11_structure,
+        "op12_rules": op12_rules,
         "op13_trie": op13_trie,
     }
 
@@ -125,4 +130,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_minhash": NEAR_DUPLICATE_TEXTS,
         "op7_caps": NEAR_DUPLICATE_VECTORS,
         "op9_licenses": licenses.oracle_sql(),
+        "op12_rules": rules.oracle_sql(),
     }
