@@ -24,10 +24,12 @@ from pressure.functions import expressions as X
 from pressure.operators import profile as P
 from pressure.operators.dedup import extra_copies
 from pressure.plans import activity, checks, clean, dims, marts, wins
-from pressure.plans.build import STAGED, TABLES, Layers, build_all, build_if_absent, build_scratch
+from pressure.plans.build import STAGED, TABLES, Layers, build_all, build_if_absent, build_scratch, store_events
 from pressure.plans.profiling import COORDINATES, profile_folder
 from pressure.sources.csv_log import ingest_events
+from pressure.sources import builds
 from pressure.sources.scratch import file_state, new_folder
+from pressure.sources.tables import forget
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,11 +142,30 @@ def _catalog_reopened(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A summary from tables that were built before, dropped from the catalog, and found again under their root."""
     root = new_folder(spark, "tables")
     build_all(spark, _as_csv(spark, sf_dir), root)
-    for name in (STAGED, *TABLES):
-        spark.sql(f"DROP TABLE {name}")
+    forget(spark, (STAGED, *TABLES))
     return marts.summary(build_if_absent(spark, "/nowhere", root).win_tables)
 
 
+def _catalog_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each table after a second build, of a third of the log, was lost before its last table."""
+    root = new_folder(spark, "tables")
+    built = build_all(spark, _as_csv(spark, sf_dir), root)
+    lost = builds.start(root)
+    raw = builds.write(lost, built.raw.filter(F.col("event_id") % 3 == 0), STAGED)
+    builds.write(lost, clean.clean_events(raw), "clean.events")
+    found = build_if_absent(spark, "/nowhere", root)
+    tables = (found.raw, found.clean, found.games, found.teams, found.players, found.events, found.wins, found.counts)
+    counted = [df.agg(F.lit(name).alias("table"), F.count("*").alias("rows")) for name, df in zip((STAGED, *TABLES), tables, strict=True)]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def _cut_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wins from facts that are stored with nearly all games cut into runs."""
+    t = layers(spark, sf_dir)
+    build = builds.start(new_folder(spark, "layers"))
+    return wins.fact_puck_wins(store_events(build, t.clean, t.games, t.events, SMALL), limits=SMALL)
+
+
 def _file_profile(part: str) -> Query:
     """The profile of each of several files, all of one name, in folders of their own."""
 
@@ -205,21 +226,21 @@ def _first_event(tables: Layers) -> DataFrame:
         "event_team_key": "following_team_key",
         "game_seconds": "seconds_since_win",
     }
-    return _found(wins.first_following(tables.events), "hit", names)
+    return _found(wins.first_following(tables.events_by_game), "hit", names)
 
 
 def _first_end(tables: Layers) -> DataFrame:
     names = {"event_id": "end_event_id", "event": "end_event", "game_seconds": "seconds_to_end"}
-    return _found(wins.win_outcomes(tables.events), "end", names)
+    return _found(wins.win_outcomes(tables.events_by_game), "end", names)
 
 
 def _first_shot(tables: Layers) -> DataFrame:
     names = {"event_id": "shot_event_id", "event": "shot_event", "game_seconds": "seconds_to_shot"}
-    return _found(wins.first_own_shot(tables.events), "hit", names)
+    return _found(wins.first_own_shot(tables.events_by_game), "hit", names)
 
 
 def _outcome(tables: Layers) -> DataFrame:
-    return wins.win_outcomes(tables.events).select(
+    return wins.win_outcomes(tables.events_by_game).select(
         F.col("event_id").alias("win_event_id"),
         F.col("end.event_id").alias("end_event_id"),
         F.col("hit").isNotNull().alias("led_to_shot"),
@@ -307,6 +328,7 @@ def queries() -> dict[str, Query]:
         "ingest_csv": _through_csv,
         "catalog_rows": _catalog_rows,
         "catalog_reopened": _catalog_reopened,
+        "catalog_after_failed_build": _catalog_after_failure,
         "profile_file_rows": _file_profile("rows"),
         "profile_file_events": _file_profile("events"),
         "profile_file_extent": _file_profile("extent"),
@@ -325,14 +347,15 @@ def queries() -> dict[str, Query]:
         "dim_player_ranges": _on_layers(lambda t: dims.dim_player(t.clean, limits=SMALL)),
         "fact_events": _on_layers(lambda t: t.events),
         "fact_events_player2": _on_layers(_second_players),
-        "events_lagged": _on_layers(lambda t: wins.events_lagged(t.events)),
+        "events_lagged": _on_layers(lambda t: wins.events_lagged(t.events_by_game)),
         "events_lagged_split": _on_layers(lambda t: wins.events_lagged(t.events, SMALL)),
-        "wins_typed": _on_layers(lambda t: wins.wins_typed(t.events)),
+        "wins_typed": _on_layers(lambda t: wins.wins_typed(t.events_by_game)),
         "window_first_event": _on_layers(_first_event),
         "window_first_end": _on_layers(_first_end),
         "window_first_shot": _on_layers(_first_shot),
         "win_outcome": _on_layers(_outcome),
-        "fact_puck_wins": _on_layers(lambda t: wins.fact_puck_wins(t.events)),
+        "fact_puck_wins": _on_layers(lambda t: wins.fact_puck_wins(t.events_by_game)),
+        "fact_puck_wins_cut_games": _cut_games,
         "fact_puck_wins_split": _on_layers(lambda t: wins.fact_puck_wins(t.events, limits=SMALL)),
         "fact_puck_wins_late_clock": _on_layers(lambda t: wins.fact_puck_wins(_late(t))),
         "fact_puck_wins_late_clock_split": _on_layers(lambda t: wins.fact_puck_wins(_late(t), limits=SMALL)),

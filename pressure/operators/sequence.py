@@ -10,6 +10,7 @@ the rows of a group with each other.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +20,26 @@ from pressure.config import LIMITS, Limits
 from pressure.operators.ordering import row_numbers
 from pressure.sources.scratch import keep, keep_counted
 
+RUN = "_run"
+
+
+@dataclass(frozen=True)
+class Laid:
+    """A table stored by group: ordinary groups whole, large ones cut into runs numbered by the column RUN.
+
+    Both are bucketed by what the scans partition by, so scanning them moves no row.
+    """
+
+    ordinary: DataFrame
+    runs: DataFrame
+
+    def select(self, *columns: str) -> Laid:
+        return Laid(self.ordinary.select(*columns), self.runs.select(*columns, RUN))
+
+    def whole(self) -> DataFrame:
+        return self.ordinary.unionByName(self.runs.drop(RUN))
+
+
 Aggregates = dict[str, tuple[Callable[[Column], Column], Column]]
 
 
@@ -26,8 +47,24 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
+def large_groups(df: DataFrame, by: Sequence[str], limits: Limits = LIMITS) -> DataFrame:
+    """The groups that are more than a task should hold: at most total rows / group_rows of them."""
+    sizes = df.groupBy(*by).agg(F.count("*").alias("_rows"))
+    return sizes.filter(F.col("_rows") > limits.group_rows).select(*by)
+
+
+def split_groups(
+    df: DataFrame, large: DataFrame, by: Sequence[str], order: str, limits: Limits = LIMITS
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary groups, and those of the large ones with the number of their run."""
+    ordinary = df.join(large, _same(df, large, by), "left_anti")
+    rest = df.join(large, _same(df, large, by), "left_semi")
+    numbered = row_numbers(rest, [*by, order], "_row", limits.one_task_rows)
+    return ordinary, numbered.withColumn(RUN, F.expr(f"_row DIV {limits.chunk_rows}")).drop("_row")
+
+
 def split_by_size(
-    df: DataFrame,
+    df: DataFrame | Laid,
     by: Sequence[str],
     order: str,
     job: Callable[[DataFrame, str | None], DataFrame],
@@ -36,19 +73,16 @@ def split_by_size(
     """Runs `job(rows, None)` on ordinary groups and `job(rows, run)` on the large ones.
 
     `run` names a column that numbers the runs a large group is cut into, `chunk_rows` rows each
-    however sparse the order values are.
+    however sparse the order values are. A table stored by group is taken as it was cut.
     """
-    sizes = df.groupBy(*by).agg(F.count("*").alias("_rows"))
-    large = sizes.filter(F.col("_rows") > limits.group_rows).select(*by)
+    if isinstance(df, Laid):
+        return job(df.ordinary, None).unionByName(job(df.runs, RUN).drop(RUN))
+    large = large_groups(df, by, limits)
     if large.isEmpty():
         return job(df, None)
-    # At most total rows / group_rows of these; Spark broadcasts them if their size allows.
-    large = keep(large, "large-groups")
-    ordinary = df.join(large, _same(df, large, by), "left_anti")
-    rest = df.join(large, _same(df, large, by), "left_semi")
-    numbered = row_numbers(rest, [*by, order], "_row", limits.one_task_rows)
-    runs = numbered.withColumn("_run", F.expr(f"_row DIV {limits.chunk_rows}")).drop("_row")
-    return job(ordinary, None).unionByName(job(runs, "_run").drop("_run"))
+    # Spark broadcasts these if their size allows.
+    ordinary, runs = split_groups(df, keep(large, "large-groups"), by, order, limits)
+    return job(ordinary, None).unionByName(job(runs, RUN).drop(RUN))
 
 
 def scan(

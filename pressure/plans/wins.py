@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressure.config import LIMITS, RULES, Limits, Rules
-from pressure.operators.sequence import first_outcome, previous_row, split_by_size
+from pressure.operators.sequence import Laid, first_outcome, previous_row, split_by_size
 from pressure.sources.schemas import FACT_WIN_COLUMNS, WIN_COLUMNS
 
 _PREVIOUS = ("event", "event_team_key", "detail_1", "period")
@@ -40,17 +40,17 @@ def is_win(rules: Rules = RULES) -> Column:
     return F.col("event").isin(*rules.win_events) & (F.col("zone") == "OZ")
 
 
-def events_lagged(facts: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+def events_lagged(facts: DataFrame | Laid, limits: Limits = LIMITS) -> DataFrame:
     return split_by_size(facts, ["game_key"], "event_id", with_previous, limits)
 
 
-def wins_typed(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMITS) -> DataFrame:
+def wins_typed(facts: DataFrame | Laid, rules: Rules = RULES, limits: Limits = LIMITS) -> DataFrame:
     """The win population with its type; the filter comes after the look back."""
     lagged = events_lagged(facts, limits)
     return lagged.filter(is_win(rules)).withColumn("win_type", win_type()).select(*WIN_COLUMNS)
 
 
-def win_outcomes(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMITS) -> DataFrame:
+def win_outcomes(facts: DataFrame | Laid, rules: Rules = RULES, limits: Limits = LIMITS) -> DataFrame:
     """Wins with their type, the event that closed the window (`end`) and the credited shot (`hit`)."""
 
     def job(rows: DataFrame, run: str | None) -> DataFrame:
@@ -77,7 +77,7 @@ def win_outcomes(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMITS
     return split_by_size(facts.select(*used), ["game_key"], "event_id", job, limits)
 
 
-def fact_puck_wins(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMITS) -> DataFrame:
+def fact_puck_wins(facts: DataFrame | Laid, rules: Rules = RULES, limits: Limits = LIMITS) -> DataFrame:
     led = F.col("hit").isNotNull()
     ended_by = F.col("end.event")
     return (
@@ -102,18 +102,18 @@ def fact_puck_wins(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMI
     )
 
 
-def first_following(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMITS) -> DataFrame:
+def first_following(facts: DataFrame | Laid, rules: Rules = RULES, limits: Limits = LIMITS) -> DataFrame:
     """Per win, the first later event of any kind inside its window."""
     return _first_in_window(facts, ["game_key", "period"], F.lit(True), rules, limits)
 
 
-def first_own_shot(facts: DataFrame, rules: Rules = RULES, limits: Limits = LIMITS) -> DataFrame:
+def first_own_shot(facts: DataFrame | Laid, rules: Rules = RULES, limits: Limits = LIMITS) -> DataFrame:
     """Per win, the first later shot of the same team inside its window, whatever came between."""
     own = F.col("is_shot") == 1
     return _first_in_window(facts, ["game_key", "period", "event_team_key"], own, rules, limits)
 
 
-def _first_in_window(facts: DataFrame, by: list[str], wanted: Column, rules: Rules, limits: Limits) -> DataFrame:
+def _first_in_window(facts: DataFrame | Laid, by: list[str], wanted: Column, rules: Rules, limits: Limits) -> DataFrame:
     rows = facts.select("game_key", "period", "event_team_key", "event_id", "game_seconds", "event", "zone", "is_shot")
 
     def job(part: DataFrame, run: str | None) -> DataFrame:

@@ -67,22 +67,23 @@ def scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _SCOPES.reset(token)
         for path in paths:
-            system, where = _files(spark, path)
+            system, where = files_at(spark, path)
             system.delete(where, True)
 
 
-def _files(spark: SparkSession, path: str):
+def files_at(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path as it takes it."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
 def written(spark: SparkSession, path: str) -> bool:
     """Whether a table was written here to the end."""
-    system, where = _files(spark, f"{path}/_SUCCESS")
+    system, where = files_at(spark, f"{path}/_SUCCESS")
     return system.exists(where)
 
 
 def file_state(spark: SparkSession, path: str) -> tuple:
     """Path, size and last change of the files under a path."""
-    system, where = _files(spark, path)
+    system, where = files_at(spark, path)
     return (path, *[(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in system.listStatus(where)])

@@ -7,8 +7,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressure.sources.scratch import written
-
 LAYERS = ("staging", "clean", "warehouse")
 
 
@@ -36,11 +34,11 @@ def replace_table(df: DataFrame, name: str, root: str | None = None) -> DataFram
     return df.sparkSession.table(name)
 
 
-def attach_tables(spark: SparkSession, names: Iterable[str], root: str) -> None:
-    """Names the tables written under `root` by an earlier session that this catalog lacks."""
-    for name in missing(spark, names):
-        if written(spark, _folder(name, root)):
-            spark.catalog.createTable(name, path=_folder(name, root), source="parquet")
+def forget(spark: SparkSession, names: Iterable[str]) -> None:
+    """Drops names of tables and views from the catalog; files of tables written under a root stay."""
+    for name in names:
+        kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} {name}")
 
 
 def row_counts(spark: SparkSession, names: Iterable[str]) -> dict[str, int]:
