@@ -130,6 +130,20 @@ def _through_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_events(spark, _as_csv(spark, sf_dir))
 
 
+def _quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with line breaks, quotes and commas inside quotes, in one file that is read in many blocks."""
+    folder = new_folder(spark, "csv")
+    broken = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit('two\nlines, "'), F.col("Event"), F.lit('"\n\n')))
+    log = raw_log(spark, sf_dir).withColumn("Detail 1", F.coalesce(broken, F.col("Detail 1")))
+    log.orderBy("event_id").drop("event_id").coalesce(1).write.options(**PLAIN_CSV, escape='"').csv(folder)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        return ingest_events(spark, folder, multi_line=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def _catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The build a user runs, from CSV files into catalog tables: rows of each."""
     build_all(spark, _as_csv(spark, sf_dir), new_folder(spark, "tables"))
@@ -172,7 +186,8 @@ def _file_profile(part: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = new_folder(spark, "files")
         log = raw_log(spark, sf_dir).withColumn("part", F.col("event_id") % 3)
-        log.drop("event_id").repartition("part").write.partitionBy("part").options(**PLAIN_CSV).csv(folder)
+        ordered = log.repartition("part").sortWithinPartitions("part", "event_id")
+        ordered.drop("event_id").write.partitionBy("part").options(**PLAIN_CSV).csv(folder)
         rows = profile_folder(spark, f"{folder}/part=*")[part]
         number = F.regexp_extract("file", "part=([0-9]+)", 1).cast("int")
         return rows.withColumn("part", number).drop("file")
@@ -326,12 +341,14 @@ def queries() -> dict[str, Query]:
     return {
         "raw_events": raw_log,
         "ingest_csv": _through_csv,
+        "ingest_csv_quoted": _quoted,
         "catalog_rows": _catalog_rows,
         "catalog_reopened": _catalog_reopened,
         "catalog_after_failed_build": _catalog_after_failure,
         "profile_file_rows": _file_profile("rows"),
         "profile_file_events": _file_profile("events"),
         "profile_file_extent": _file_profile("extent"),
+        "profile_file_clocks": _file_profile("clocks"),
         "league_filter": _on_raw(_leagues),
         "clean_events": _on_raw(clean.clean_events),
         "clean_dedup_removed": _on_layers(_removed),

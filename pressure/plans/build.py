@@ -18,7 +18,7 @@ from pressure.sources import builds
 from pressure.sources.builds import Build, Layout
 from pressure.sources.csv_log import ingest_events
 from pressure.sources.scratch import keep, new_folder, scope, written
-from pressure.sources.tables import create_layers, dense_ids, replace_table
+from pressure.sources.tables import create_layers, replace_table
 
 STAGED = "staging.events"
 FACTS = "warehouse.fact_events"
@@ -133,16 +133,10 @@ def load_sources(
     multi_line: bool = False,
 ) -> dict[str, DataFrame]:
     """Stages each CSV path under its table name, with file-order ids."""
-    staged = {}
-    for path, table in sources.items():
-        staged[table] = replace_table(ingest_events(spark, path, limits, multi_line), table, root)
-        _check_ids(staged[table], table)
-    return staged
-
-
-def _check_ids(rows: DataFrame, table: str) -> None:
-    if not dense_ids(rows, "event_id"):
-        raise RuntimeError(f"row ids of {table} are not 1..n: the files changed while they were read")
+    return {
+        table: ingest_events(spark, path, limits, multi_line, lambda rows, name=table: replace_table(rows, name, root))
+        for path, table in sources.items()
+    }
 
 
 def default_root(spark: SparkSession) -> str:
@@ -172,8 +166,7 @@ def build_all(
     build = builds.start(root or default_root(spark))
     try:
         with scope(spark):
-            raw = builds.write(build, ingest_events(spark, csv_path, limits, multi_line), STAGED)
-            _check_ids(raw, STAGED)
+            raw = ingest_events(spark, csv_path, limits, multi_line, lambda rows: builds.write(build, rows, STAGED))
             build_layers(raw, build, rules, limits)
         done = builds.commit(spark, build)
     except BaseException:

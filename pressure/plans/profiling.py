@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressure.operators import profile as P
 from pressure.operators.dedup import extra_copies
-from pressure.sources.csv_log import read_csv, read_csv_by_file, with_file_order
+from pressure.sources.csv_log import fixed_splits, read_csv, read_csv_by_file, with_block
+from pressure.sources.scratch import keep
 
 COORDINATES = ["X Coordinate", "Y Coordinate"]
 
@@ -40,12 +42,28 @@ def profile_file(spark: SparkSession, path: str) -> Profile:
     return profile_table(read_csv(spark, path))
 
 
+def first_rows(spark: SparkSession, path: str, first: int, columns: Sequence[str]) -> DataFrame:
+    """(file, event_id, columns) of the first rows of every file, with their number in the whole log.
+
+    A file's first rows are the first ones of the block that starts it, and the rows of earlier files are
+    counted, so nothing is sorted or written but the rows that are shown.
+    """
+    rows = read_csv_by_file(spark, path)
+    with fixed_splits(spark):
+        sizes = keep(rows.groupBy("file").agg(F.count("*").alias("rows")), "files")
+        earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+        before = sizes.select(F.col("file").alias("_file"), F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_before"))
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
+        placed = with_block(rows).select("file", "_start", place.alias("_place"), *columns)
+        shown = placed.filter((F.col("_start") == 0) & (F.col("_place") <= first)).join(before, F.col("file") == F.col("_file"))
+        return keep(shown.select("file", (F.col("_place") + F.col("_before")).alias("event_id"), *columns), "first-rows")
+
+
 def profile_folder(spark: SparkSession, path: str, first: int = 3) -> dict[str, DataFrame]:
-    """Rows, event counts, coordinate extents and first clocks per file; the files are read once."""
-    df = with_file_order(read_csv_by_file(spark, path))
-    rows = df.groupBy("file").agg(F.count("*").alias("rows"), F.min("event_id").alias("_start"))
+    """Rows, event counts, coordinate extents and first clocks per file, straight from the files."""
+    df = read_csv_by_file(spark, path)
     return {
-        "rows": rows.select("file", "rows"),
+        "rows": df.groupBy("file").agg(F.count("*").alias("rows")),
         "events": df.filter(F.col("Event").isNotNull())
         .groupBy("file", "Event")
         .agg(F.count("*").alias("n"))
@@ -53,10 +71,5 @@ def profile_folder(spark: SparkSession, path: str, first: int = 3) -> dict[str,
         "extent": df.groupBy("file").agg(
             *[agg(c).alias(f"{c} {n}") for c in COORDINATES for n, agg in (("min", F.min), ("max", F.max))]
         ),
-        # One start per file, matched by id: no file is sorted for its first rows.
-        "clocks": rows.select(F.explode(F.sequence("_start", F.col("_start") + first - 1)).alias("event_id"), F.col("file").alias("_file"))
-        .join(df.select("event_id", "file", "Clock"), "event_id")
-        .filter(F.col("_file") == F.col("file"))
-        .select("file", "event_id", "Clock")
-        .orderBy("event_id"),
+        "clocks": first_rows(spark, path, first, ["Clock"]).orderBy("event_id"),
     }
