@@ -277,6 +277,13 @@ def _report_checks(tables: Layers) -> DataFrame:
     return checks.report_checks(tables.win_tables, _filter_sets(), minimum_sets)
 
 
+def _broken_reports(tables: Layers) -> DataFrame:
+    """The same of wins with faults, and with minimums that are not those of the table."""
+    minimum_sets = [(marts.Filters(**f), n + 3) for f, n in check_sql.MINIMUM_SETS]
+    broken = marts.WinTables(marts.win_counts(_broken(tables).wins), tables.teams, tables.players)
+    return checks.report_checks(broken, _filter_sets(), minimum_sets)
+
+
 def _broken(tables: Layers) -> Layers:
     """The tables with faults of every kind that the checks look for."""
     at = F.col("event_id")
@@ -413,6 +420,7 @@ def queries() -> dict[str, Query]:
             )
         ),
         "dq_report_marts": _on_layers(_report_checks),
+        "dq_report_marts_broken": _on_layers(_broken_reports),
         "profile_shape": _on_raw(P.shape),
         "profile_nulls": _on_raw(P.nulls),
         "profile_duplicates": _on_raw(lambda raw: extra_copies(raw, "event_id")),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,30 +100,42 @@ def filter_name(filters: M.Filters) -> str:
     return ", ".join(f"{k}={v}" for k, v in given.items()) or "no filter"
 
 
-def breakdown_checks(tables: M.WinTables, filter_sets: list[M.Filters]) -> DataFrame:
-    """Per filter set: do cells, win types and end reasons add up to the summary?
+def filter_totals(tables: M.WinTables, rules: Rules = RULES) -> DataFrame:
+    """Wins per value of every filter: all of them, and those that the parts of each report count.
 
-    All sets are counted together: each counted win is tagged with the sets whose filters it passes, by
-    the test the reports use, and written once. A set that selects nothing stays in the report with totals of 0.
+    The one read of the counted wins. All checks of all filter sets are sums of its rows.
     """
-    names = F.array(*[F.lit(filter_name(f)) for f in filter_sets])
-    tags = F.array_compact(F.array(*[F.when(M.passes(f), F.lit(filter_name(f))) for f in filter_sets]))
-    tagged = keep(M.named(tables).withColumn("filters", F.explode(tags)), "tagged-wins")
-    summary = M.totals(tagged, "filters").select("filters", "wins", "shots")
-    cells = M.cells(tagged, "filters").groupBy("filters").agg(F.sum("n").alias("cell_wins"))
-    types = M.types(tagged, "filters").groupBy("filters").agg(F.sum("wins").alias("type_wins"))
-    reasons = (
-        M.reasons(tagged, "filters")
-        .groupBy("filters")
-        .agg(
-            F.sum("totals").alias("reason_wins"),
-            F.sum(F.when(F.col("end_reason") == "shot", F.col("totals")).otherwise(0)).alias("reason_shots"),
-        )
-    )
-    sets = tables.counts.sparkSession.range(1).select(F.explode(names).alias("filters"))
-    joined = sets
-    for part in (summary, cells, types, reasons):
-        joined = joined.join(part, "filters", "left")
+    last = rules.grid_last_bin
+    led = F.coalesce(F.col("led_to_shot"), F.lit(False))
+    counted = {
+        "wins": F.lit(True),
+        "shots": led,
+        "cell_wins": F.col("bx").between(0, last) & F.col("by_").between(0, last),
+        "type_wins": F.col("win_type").isin(*WIN_TYPES),
+        "reason_wins": F.col("end_reason").isin(*END_REASON_LABELS),
+        "reason_shots": F.col("end_reason") == "shot",
+    }
+    sums = [F.sum(F.when(condition, F.col("n")).otherwise(0)).alias(name) for name, condition in counted.items()]
+    rows = M.named(tables).groupBy("team_name", "player_name", "player_team", "strength_state", "win_type").agg(*sums)
+    return keep(rows, "filter-totals")
+
+
+def _by_set(totals: DataFrame, sets: list[M.Filters], *by: Column) -> tuple[DataFrame, DataFrame]:
+    """(a row per filter set, the totals summed by the sets that each row passes): `set` numbers the sets."""
+    numbers = F.array(*[F.lit(i) for i in range(len(sets))])
+    passed = F.array_compact(F.array(*[F.when(M.passes(f), F.lit(i)) for i, f in enumerate(sets)]))
+    names = F.array(*[F.lit(filter_name(f)) for f in sets])
+    every = totals.sparkSession.range(1).select(F.explode(numbers).alias("set")).withColumn("filters", names[F.col("set")])
+    sums = [F.sum(c).alias(c) for c in ("wins", "shots", "cell_wins", "type_wins", "reason_wins", "reason_shots")]
+    return every, totals.withColumn("set", F.explode(passed)).groupBy("set", *by).agg(*sums)
+
+
+def breakdown_checks(totals: DataFrame, filter_sets: list[M.Filters]) -> DataFrame:
+    """Per filter set: do the cells of the grid, the win types and the end reasons that are shown add up to the summary?
+
+    A set that selects nothing stays in the report with totals of 0.
+    """
+    every, sums = _by_set(totals, filter_sets)
 
     def result(check: str, total: str, parts: str) -> Column:
         whole, summed = F.coalesce(total, F.lit(0)), F.coalesce(parts, F.lit(0))
@@ -135,7 +145,7 @@ def breakdown_checks(tables: M.WinTables, filter_sets: list[M.Filters]) -> DataF
             F.abs(whole - summed).alias("violations"),
         )
 
-    return joined.select(
+    return every.join(sums, "set", "left").select(
         F.inline(
             F.array(
                 result("cells add up", "wins", "cell_wins"),
@@ -147,38 +157,30 @@ def breakdown_checks(tables: M.WinTables, filter_sets: list[M.Filters]) -> DataF
     )
 
 
-def win_type_checks(tables: M.WinTables) -> DataFrame:
-    """A summary filtered to one win type agrees with that type's row of the comparison."""
-    compared = M.shot_rate_by_win_type(tables).select("win_type", "wins")
-    alone = [
-        M.summary(tables, M.Filters(win_type=name)).select(F.lit(name).alias("win_type"), F.col("wins").alias("alone"))
-        for name in WIN_TYPES
-    ]
-    return compared.join(reduce(DataFrame.unionByName, alone), "win_type", "left").select(
+def win_type_checks(totals: DataFrame) -> DataFrame:
+    """Every row of the comparison is a type that a summary can be filtered to."""
+    return totals.groupBy("win_type").agg(F.sum("wins").alias("checked")).select(
         F.concat(F.lit("win type agrees: "), "win_type").alias("check"),
-        F.col("wins").alias("checked"),
-        (~F.col("alone").eqNullSafe(F.col("wins"))).cast("long").alias("violations"),
+        "checked",
+        Q.outside("win_type", WIN_TYPES).cast("long").alias("violations"),
     )
 
 
 def table_minimum_checks(
-    tables: M.WinTables, minimum_sets: list[tuple[M.Filters, int]], rules: Rules = RULES
+    totals: DataFrame, minimum_sets: list[tuple[M.Filters, int]], rules: Rules = RULES
 ) -> DataFrame:
     """The table lists exactly the players who have the wins that are asked for; `minimum_sets` says how many that is."""
-
-    def one(filters: M.Filters, minimum: int) -> DataFrame:
-        listed = M.player_table(tables, filters, rules).select("Player", "Team", F.lit(True).alias("listed"))
-        wins = M.named(tables).filter(M.passes(filters)).groupBy(F.col("player_name").alias("Player"), F.col("player_team").alias("Team"))
-        due = wins.agg(F.sum("n").alias("n")).filter(F.col("n") >= minimum)
-        same = [listed[c].eqNullSafe(due[c]) for c in ("Player", "Team")]
-        both = listed.join(due, same[0] & same[1], "full")
-        return both.agg(
-            F.lit(f"table minimum: {filter_name(filters)}").alias("check"),
-            F.count("listed").alias("checked"),
-            F.count_if(F.col("listed").isNull() | F.col("n").isNull()).alias("violations"),
-        )
-
-    return Q.report([one(f, n) for f, n in minimum_sets])
+    sets = [f for f, _ in minimum_sets]
+    listed_from = F.array(*[F.lit(M.table_minimum(f, rules)) for f in sets])[F.col("set")]
+    asked_from = F.array(*[F.lit(n) for _, n in minimum_sets])[F.col("set")]
+    every, sums = _by_set(totals, sets, F.col("player_name"), F.col("player_team"))
+    listed, due = F.col("wins") >= listed_from, F.col("wins") >= asked_from
+    counted = sums.groupBy("set").agg(F.count_if(listed).alias("checked"), F.count_if(listed != due).alias("violations"))
+    return every.join(counted, "set", "left").select(
+        F.concat(F.lit("table minimum: "), "filters").alias("check"),
+        F.coalesce("checked", F.lit(0)).alias("checked"),
+        F.coalesce("violations", F.lit(0)).alias("violations"),
+    )
 
 
 def report_checks(
@@ -187,10 +189,11 @@ def report_checks(
     minimum_sets: list[tuple[M.Filters, int]],
     rules: Rules = RULES,
 ) -> DataFrame:
+    totals = filter_totals(tables, rules)
     return Q.report(
         [
-            breakdown_checks(tables, filter_sets),
-            win_type_checks(tables),
-            table_minimum_checks(tables, minimum_sets, rules),
+            breakdown_checks(totals, filter_sets),
+            win_type_checks(totals),
+            table_minimum_checks(totals, minimum_sets, rules),
         ]
     )

@@ -62,3 +62,35 @@ def test_known_totals(layers):
     assert len(good) == 14 and all(r["violations"] == 0 for r in good)
     bad = C.known_total_checks(layers, {"wins": 1180}, 0.408, {"shots": 1}).collect()
     assert [r["violations"] for r in bad] == [8, 1, 1]
+
+
+def test_report_checks_read_the_counted_wins_once_and_count_faults(spark, layers, monkeypatch):
+    from pressure.plans import marts as M
+
+    kept = []
+    keep = C.keep
+    monkeypatch.setattr(C, "keep", lambda df, label: kept.append(df) or keep(df, label))
+    sets = [M.Filters(), M.Filters(team="North"), M.Filters(team="North", player="Nobody")]
+    good = C.report_checks(layers.win_tables, sets, [(M.Filters(), 20), (M.Filters(player="Nobody"), 1)])
+    assert len(kept) == 1
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "win_counts" not in plan  # everything else comes from the sums
+    got = {r["check"]: (r["checked"], r["violations"]) for r in good.collect()}
+    assert got["cells add up: no filter"] == (1188, 0) and got["cells add up: team=North, player=Nobody"] == (0, 0)
+    assert got["table minimum: player=Nobody"] == (0, 0) and all(v == 0 for _, v in got.values())
+
+    faulty = layers.wins.withColumns(
+        {
+            "x_coord": F.when(F.col("event_id") % 7 == 0, 10).otherwise(F.col("x_coord")),
+            "win_type": F.when(F.col("event_id") % 5 == 0, "Mystery").otherwise(F.col("win_type")),
+            "led_to_shot": ~F.col("led_to_shot"),
+        }
+    )
+    tables = M.WinTables(M.win_counts(faulty), layers.teams, layers.players)
+    bad = {r["check"]: (r["checked"], r["violations"]) for r in C.report_checks(tables, sets, [(M.Filters(), 25)]).collect()}
+    assert bad["cells add up: no filter"] == (1188, layers.wins.filter("event_id % 7 = 0").count())
+    mystery = layers.wins.filter("event_id % 5 = 0").count()
+    assert bad["win types add up: no filter"] == (1188, mystery) and bad["win type agrees: Mystery"] == (mystery, 1)
+    assert bad["shot end reason is the shots: no filter"] == (1040, 1040 - 148)
+    players = M.player_table(tables).filter(F.col("OZ Wins") < 25).count()
+    assert bad["table minimum: no filter"][1] == players > 0
