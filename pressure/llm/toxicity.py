@@ -1,12 +1,13 @@
 """Toxicity scores from subword-bag embeddings.
 
 A word is the bag of its character n-grams and of itself, with marks at both ends; each hashes to a
-row of one embedding table, and the rows are averaged into the word's vector. The vectors of the
-text's most toxic words, one in every WORDS_PER_PICK of its words, are averaged and a linear softmax
-over the average gives the text's probability: a few insults weigh the same in a long text as in a
-short one, and one odd word does not decide a long text. Table and softmax are fitted together in
-numpy, first on single words by the texts they occur in, then on whole texts. A misspelling shares most n-grams, and so
-most of its vector, with the word it comes from.
+row of one embedding table, and the rows are averaged into the word's vector. The vectors of the most toxic words of a span of
+SPAN words, one in every WORDS_PER_PICK, are averaged and a linear softmax over the average gives the span's
+probability. A shorter text is one span; a longer one has a span at every WORDS_PER_PICK words and one at its end, and scores as
+its most toxic span, so what is added to a text does not thin out what was there. The plain average over all words of
+a span catches fewer toxic texts (figures in the README). Table and softmax are fitted together in
+numpy, first on single words by the texts they occur in, then on the spans that speak for whole texts. A misspelling shares most
+n-grams, and so most of its vector, with the word it comes from.
 
 Only the text is an input of a score. Null and empty texts, and texts without a word, have an
 average of nothing and score by the offsets alone. Rows are scored one by one; repeated rows score alike. Extra columns are kept
@@ -29,6 +30,7 @@ from pressure.llm.labelled import ROWS_PER_GRADE, fit, sample
 
 WORD = re.compile(r"\w*[^\W\d_]\w*")  # with a letter in it
 WORDS_PER_PICK = 120
+SPAN = 2 * WORDS_PER_PICK
 SIZES = (3, 4, 5)
 ROWS, WIDTH = 1 << 17, 8
 THRESHOLD = 0.7
@@ -51,7 +53,7 @@ def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     rolled = np.zeros(len(code), np.uint64)
     for n in range(1, max(SIZES) + 1):
         ahead = np.zeros(len(code), np.uint64)
-        ahead[: len(code) - n + 1] = code[n - 1 :]
+        ahead[: max(len(code) - n + 1, 0)] = code[n - 1 :]
         rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + ahead + np.uint64(n)
         if n in SIZES:
             here = left >= n
@@ -68,9 +70,18 @@ def word_lists(texts: list[str]) -> list[list[str]]:
     return [WORD.findall(t.lower()) for t in texts]
 
 
-def picks(counts: np.ndarray) -> np.ndarray:
-    """How many of its most toxic words speak for a text of so many words."""
-    return -(-counts // WORDS_PER_PICK)
+def picked(values: np.ndarray) -> np.ndarray:
+    """Places of the words that speak for a text with these word logits: the most toxic ones of its most toxic span."""
+    n = len(values)
+    if n <= SPAN:
+        k = -(-n // WORDS_PER_PICK)
+        return np.argpartition(values, n - k)[n - k :]
+    starts = np.append(np.arange(0, n - SPAN, WORDS_PER_PICK), n - SPAN)
+    k = SPAN // WORDS_PER_PICK
+    spans = values[starts[:, None] + np.arange(SPAN)]
+    top = np.argpartition(spans, SPAN - k, axis=1)[:, SPAN - k :]
+    best = int(np.argmax(np.take_along_axis(spans, top, 1).sum(1)))
+    return starts[best] + top[best]
 
 
 class Model:
@@ -98,17 +109,16 @@ class Model:
         return np.add.reduceat(self.row_logit[rows], np.cumsum(sizes) - sizes) / sizes if len(words) else np.zeros(0)
 
     def logits(self, lists: list[list[str]]) -> np.ndarray:
-        """Logit of the average over each text's most toxic words."""
+        """Logit of the average over the words that speak for each text."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = list(set().union(*lists) - self.known.keys())
         self.known.update(zip(new, self.word_logits(new).tolist(), strict=True))
         out = np.full(len(lists), self.base)
-        take = picks(np.fromiter(map(len, lists), np.int64, len(lists))).tolist()
-        for i, (words, k) in enumerate(zip(lists, take, strict=True)):
+        for i, words in enumerate(lists):
             if words:
                 values = np.fromiter(map(self.known.__getitem__, words), np.float64, len(words))
-                out[i] += np.partition(values, len(words) - k)[len(words) - k :].mean()
+                out[i] += values[picked(values)].mean()
         return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -201,16 +211,17 @@ def train(texts: list[str], grades: list[int], rounds: int = 16, seed: int = 10)
         seen[:] = 1e-2
 
     # Then the texts by the words that speak for them, and clean texts also by some other words of theirs.
-    start, take = np.cumsum(counts) - counts, picks(counts)
+    start = np.cumsum(counts) - counts
+    take = np.minimum(-(-counts // WORDS_PER_PICK), SPAN // WORDS_PER_PICK)
     weight = np.sqrt(len(labels) / 2 / np.bincount(labels, minlength=2))[labels]
     for k in range(rounds):
         value = trainer.word_logits()[ids]
-        order = np.lexsort((-value, text_of))
+        top_of = [s + picked(value[s : s + n]) if n else np.zeros(0, np.int64) for s, n in zip(start, counts, strict=True)]
         for some in trainer.batches(len(lists), 256):
             some = some[counts[some] > 0]
             clean = some[labels[some] == 0]
-            top = order[spread(start[some], take[some])]
-            other = order[spread(start[clean] + (trainer.rng.random(len(clean)) * (counts[clean] - take[clean] + 1)).astype(int), take[clean])]
+            top = np.concatenate([top_of[i] for i in some]) if len(some) else np.zeros(0, np.int64)
+            other = spread(start[clean] + (trainer.rng.random(len(clean)) * (counts[clean] - take[clean] + 1)).astype(int), take[clean])
             bag = np.repeat(np.arange(len(some) + len(clean)), np.concatenate([take[some], take[clean]]))
             of = np.concatenate([some, clean])
             trainer.step(ids[np.concatenate([top, other])], bag, labels[of], weight[of], 0.3 * (1 - k / rounds) + 0.02, 0.2)

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +125,46 @@ def test_odd_rows(spark, odd_docs, no_docs, labels):
     assert quality.quality_report(odd_docs, table).where("p_wanted BETWEEN 0 AND 1").count() == odd_docs.count()
     assert toxicity.toxicity_report(no_docs, table).collect() == []
     assert quality.quality_report(no_docs, table).collect() == []
+
+
+def test_the_most_toxic_span_by_plain_loops():
+    rng = np.random.default_rng(8)
+    for n in [1, 2, 119, 120, 121, 239, 240, 241, 360, 361, 1000, 2417]:
+        values = rng.permutation(n).astype(float)
+        starts = [0] if n <= toxicity.SPAN else [*range(0, n - toxicity.SPAN, 120), n - toxicity.SPAN]
+        best = None
+        for s in starts:
+            span = sorted(range(s, min(s + toxicity.SPAN, n)), key=lambda i: -values[i])
+            top = span[: -(-min(n, toxicity.SPAN) // 120)]
+            if best is None or sum(values[i] for i in top) > sum(values[i] for i in best):
+                best = top
+        assert sorted(toxicity.picked(values).tolist()) == sorted(best)
+
+
+def test_scores_by_plain_loops():
+    rng = np.random.default_rng(9)
+    model = toxicity.Model(rng.normal(size=(toxicity.ROWS, toxicity.WIDTH)), rng.normal(size=(2, toxicity.WIDTH)), rng.normal(size=2))
+    texts = ["", "12 !", "One word", " ".join(words(300, 5).split()), "ü ß naïve " * 90]
+    for text, score in zip(texts, model.scores(texts), strict=True):
+        vectors = [model.table[toxicity.ngrams([w])[0]].mean(0) for w in toxicity.word_lists([text])[0]]
+        average = np.zeros(toxicity.WIDTH)
+        if vectors:
+            logits = np.array([v @ (model.weights[1] - model.weights[0]) for v in vectors])
+            average = np.mean([vectors[i] for i in toxicity.picked(logits)], axis=0)
+        classes = np.exp(model.weights @ average + model.offsets)
+        assert score == pytest.approx(classes[1] / classes.sum(), rel=1e-9)
+
+
+def test_toxic_texts_are_caught_whatever_is_added_to_them():
+    docs = {r["doc_id"]: r["text"] or "" for r in pq.read_table("/root/testdata/sf0.1/documents.parquet").to_pylist()}
+    labels = [(r["doc_id"], r["toxic"]) for r in pq.read_table("/root/testdata/sf0.1/labels.parquet").to_pylist() if r["doc_id"] in docs]
+    held = {i: zlib.crc32(str(i).encode()) % 3 == 1 for i, _ in labels}
+    learned = [[i for i, t in labels if t == grade and not held[i]][:2000] for grade in (0, 1)]
+    model = toxicity.train([docs[i] for own in learned for i in own], [g for g in (0, 1) for _ in learned[g]])
+    toxic, clean = ([docs[i] for i, t in labels if t == grade and held[i]] for grade in (1, 0))
+    assert (model.scores(toxic) >= toxicity.THRESHOLD).mean() >= 0.9
+    assert (model.scores(clean) >= toxicity.THRESHOLD).mean() <= 0.005
+    rest = " ".join(clean).split()
+    for extra in (500, 2000, 10000):
+        padding = [" ".join(rest[j : j + extra // 2]) for j in range(0, 50 * extra // 8, extra // 8)][:50]
+        assert (model.scores([f"{p} {t} {p}" for p, t in zip(padding, toxic)]) >= toxicity.THRESHOLD).mean() >= 0.9
