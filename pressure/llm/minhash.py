@@ -27,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressure.llm.common import slices
+from pressure.llm.common import slices, unused
 from pressure.llm.components import components
+from pressure.operators.ordering import row_numbers
 from pressure.sources.scratch import keep
 
 WORDS = 5
@@ -380,19 +381,25 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All columns of one document of each group of near-duplicates, the one with the smallest id.
 
-    Rows with a null id or an empty text stay. Of several rows with one id the first by all columns stays.
+    Rows with a null id or an empty text stay. If ids are repeated, rows of one id and one text are one document, the first by all
+    columns; rows of one id and other texts are other documents, in order of their MD5, and go only if their texts are near-duplicates.
     """
-    judged = near_duplicates(docs, id_column, text_column).where(F.col(id_column).isNotNull())
-    by_id = judged.groupBy(F.col(id_column).alias("__id")).agg(F.max("kept").alias("__kept"), F.count("*").alias("__rows"))
-    by_id = keep(by_id, "judged")
     identified = docs.where(F.col(id_column).isNotNull())
-    # The rows are shuffled once, at every size: what stays is a table as long as theirs, so it is not broadcast.
-    single = by_id.select("__id", (F.col("__kept") & (F.col("__rows") == 1)).alias("__stays"))
-    kept = identified.join(single.hint("shuffle_hash"), F.col(id_column) == F.col("__id")).where("__stays").select(docs.columns)
-    kept = kept.unionByName(docs.where(F.col(id_column).isNull()))
-    repeated = by_id.where("__kept AND __rows > 1").select("__id")
-    if repeated.isEmpty():
-        return kept
-    again = identified.join(repeated, F.col(id_column) == F.col("__id"), "left_semi")
-    first = again.groupBy(F.col(id_column).alias("__id")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row"))
-    return kept.unionByName(first.select("__row.*"))
+    unknown = docs.where(F.col(id_column).isNull())
+    if identified.groupBy(id_column).count().where("count > 1").isEmpty():
+        return _kept_rows(identified, id_column, text_column).unionByName(unknown)
+    number, digest = unused(docs, "__number"), unused(docs, "__digest")
+    same = [F.col(id_column).alias("_id"), F.md5(F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary")).alias(digest)]
+    # Repeated rows collapse before they are shuffled.
+    documents = identified.groupBy(*same).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row"))
+    several = row_numbers(documents.select("_id", digest, "_row"), ["_id", digest], number).select("_row.*", number)
+    return _kept_rows(keep(several, "documents"), number, text_column).drop(number).unionByName(unknown)
+
+
+def _kept_rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """The rows whose id is the smallest of its component; ids are unique and known."""
+    key = unused(docs, "__id")
+    stays = near_duplicates(docs, id_column, text_column).where("kept").select(F.col(id_column).alias(key))
+    # Both sides are shuffled, at every size: what stays is a table as long as the rows, so it is not broadcast.
+    kept = keep(stays, "judged")
+    return docs.join(kept.hint("shuffle_hash"), F.col(id_column) == F.col(key), "left_semi")

@@ -129,11 +129,13 @@ def pack(
     Sizes and starts count in the unit of `size`; bins are numbered over all cells.
     """
     named = docs.select(
-        F.col(id_column).alias("id"), source.cast("string").alias("source"), cluster.cast("string").alias("cluster"), size.alias("__of")
-    )
+        F.col(id_column).alias("id"), source.cast("string").alias("source"), cluster.cast("string").alias("cluster"), size.alias("__of"),
+        F.monotonically_increasing_id().alias("__row"),
+    )
     cut, count = keep_counted(pieces(named, F.coalesce(F.col("__of"), F.lit(0)), capacity).drop("__of"), "pieces")
     cells = max(1, -(-count // cell_pieces))
-    celled = cut.withColumn("cell", F.pmod(F.xxhash64("id", "piece", "cluster", F.lit(7)), F.lit(cells)).cast("long"))
+    # The number of the row, written with the piece, spreads repeated rows as well.
+    celled = cut.withColumn("cell", F.pmod(F.xxhash64("__row", "id", "piece", "cluster"), F.lit(cells)).cast("long")).drop("__row")
     id_type = docs.schema[id_column].dataType.simpleString()
     schema = f"id {id_type}, piece int, start long, size long, source string, cluster string, bin long, place int, bin_size long"
 

@@ -139,3 +139,14 @@ def test_one_member_far_from_the_first():
     one, two = minhash._similar_in_runs(table)
     found = {frozenset((rows[i][1], rows[j][1])) for i, j in zip(one.tolist(), two.tolist(), strict=True) if i != j}
     assert found == {frozenset((10, 11)), frozenset((11, 12))}
+
+
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    one, two, three = words(40, 11), words(40, 12), words(40, 13)
+    near = one + " more"
+    rows = [(1, one), (1, two), (2, near), (2, three), (3, two), (4, words(40, 14))] + [(5, words(30, 15))] * 2000 + [(None, one)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as __id", "2 as __number", "3 as __digest", "'x' as _row", "4 as _id")
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in minhash.keep_one(docs).collect())
+    assert kept == sorted([("1", one), ("1", two), ("2", three), ("4", words(40, 14)), ("5", words(30, 15)), ("None", one), ("None", one)])
+    unique = docs.where("doc_id IN (3, 4)")
+    assert sorted(r["doc_id"] for r in minhash.keep_one(unique).collect()) == [3, 4]

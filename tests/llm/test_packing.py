@@ -81,3 +81,14 @@ def test_odd_rows(odd_docs, no_docs):
     check(rows, 64)
     assert sum(r["size"] for r in rows) == sum(len((r["text"] or "").encode()) for r in odd_docs.collect())
     assert packing.pack_documents(no_docs).collect() == []
+
+
+def test_repeated_rows_are_spread_over_the_cells(spark):
+    docs = spark.range(6000).selectExpr("7L as doc_id", "'the same text' as text", "'s' as source")
+    rows = packing.pack(docs, F.lit(10), F.lit(None).cast("string"), F.lit(None).cast("string"), capacity=100, cell_pieces=100).collect()
+    check(rows, 100)
+    cells = {}
+    for r in rows:
+        cell = r["bin"] >> packing.BIN_BITS
+        cells[cell] = cells.get(cell, 0) + 1
+    assert len(cells) > 50 and max(cells.values()) < 200
