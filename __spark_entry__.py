@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import importlib.util
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -68,31 +68,30 @@ def _importable(query: Query) -> Query:
     return run
 
 
+def _module(name: str):
+    """An optional module of the training-data part; None if it cannot be imported."""
+    try:
+        return importlib.import_module(name)
+    except ImportError:
+        return None
+
+
 def _llm() -> dict[str, Query]:
     """The queries of subpackage llm and of the corpus pipeline, as far as these are there."""
     found: dict[str, Query] = {}
-    if importlib.util.find_spec("pressure.llm") is not None:
-        from pressure.llm.queries import queries as of_llm
-
-        found |= of_llm()
-        if importlib.util.find_spec("corpus_pipeline") is not None:
-            import corpus_pipeline
-
-            found["pipeline"] = corpus_pipeline.run
+    if of_llm := _module("pressure.llm.queries"):
+        found |= of_llm.queries()
+    if pipeline := _module("corpus_pipeline"):
+        found["pipeline"] = pipeline.run
     return {name: _importable(query) for name, query in found.items()}
 
 
 def _llm_sql() -> dict[str, str]:
     found: dict[str, str] = {}
-    if importlib.util.find_spec("pressure.llm") is not None:
-        from pressure.llm.queries import oracle_sql as of_llm
-
-        found |= of_llm()
-        if importlib.util.find_spec("corpus_pipeline") is not None:
-            import corpus_pipeline
-
-            if corpus_pipeline.ORACLE_SQL:
-                found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    if of_llm := _module("pressure.llm.queries"):
+        found |= of_llm.oracle_sql()
+    if (pipeline := _module("corpus_pipeline")) and pipeline.ORACLE_SQL:
+        found["pipeline"] = pipeline.ORACLE_SQL
     return found
 
 
