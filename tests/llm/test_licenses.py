@@ -117,3 +117,54 @@ def test_wrapped_headers(spark):
 
 def test_every_known_sentence_holds_an_anchor():
     assert [s for s in licenses.SENTENCES if not re.search(licenses.ANCHORS, s)] == []
+
+# Written from the notices and texts as they stand in the wild, not from the rules.
+MORE = [
+    ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), ("// SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1"),
+    ("# SPDX-License-Identifier: (MIT OR Apache-2.0)", "Apache-2.0 MIT"), ("/* Copyright 2020 Foo SPDX-License-Identifier: MIT */", "MIT"),
+    ("<!-- SPDX-License-Identifier: GPL-2.0+ WITH Classpath-exception-2.0 AND BSD-3-Clause -->", "BSD-3-Clause GPL-2.0"),
+    ("SPDX-License-Identifier: MIT-0", ""), ("SPDX-License-Identifier: BSD-3-Clause-Clear", ""), ("SPDX-License-Identifier: LicenseRef-MIT", ""),
+    ("Foo is licensed under the MIT License - see the LICENSE file for details", "MIT"), ("This project is under the MIT license (see LICENSE).", "MIT"),
+    ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", "Apache-2.0 MIT"),
+    ("All of it is provided under the BSD 3-Clause License.", "BSD-3-Clause"), ("Dual licensed under MIT/Apache-2.0.", "Apache-2.0 MIT"),
+    ("Released under the GNU GPL, version 3.0 or later.", "GPL-3.0"), ("Distributed under the terms of the GNU Lesser General Public License v2.1.", "LGPL-2.1"),
+    ("It is licensed under the MIT Zero licence.", ""), ("Licensed under the BSD 3-Clause Clear License.", ""), ("We sat under the mitre arch, licensed or not.", ""),
+    (BSD2 + NAMES.replace("the copyright holder", "ACME Systems, Inc."), "BSD-3-Clause"),
+    (BSD2 + NAMES.replace("3. ", "(c) ").replace("the copyright holder", "Example University"), "BSD-3-Clause"),
+    (BSD2 + NAMES.replace("Neither the name of the copyright holder nor the names of its contributors may", "The name of the author may not"), "BSD-3-Clause"),
+    ("\n                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n"
+     "   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n", "Apache-2.0"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007", "GPL-3.0"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991", "GPL-2.0"),
+    ("                   GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n", "LGPL-3.0"),
+    ("                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007\n\n", "AGPL-3.0"),
+    ("Mozilla Public License Version 2.0\n==================================\n\n1. Definitions\n", "MPL-2.0"),
+    ("Eclipse Public License - v 2.0\n\n    THE ACCOMPANYING PROGRAM IS PROVIDED UNDER", "EPL-2.0"),
+    ("Boost Software License - Version 1.0 - August 17th, 2003\n\nPermission is hereby granted", "BSL-1.0"),
+    ("Creative Commons Legal Code\n\nCC0 1.0 Universal\n\n    CREATIVE COMMONS", "CC0-1.0"),
+    ("Creative Commons Attribution-ShareAlike 4.0 International Public\nLicense\n\nBy exercising", "CC-BY-SA-4.0"),
+    ("1. The origin of this software must not be misrepresented; you must not\n   claim that you wrote the original software.\n2. Altered source versions must be plainly "
+     "marked as such, and must not be\n   misrepresented as being the original software.\n3. This notice may not be removed or altered from any source distribution.", "Zlib"),
+    ("                  GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 2.1, February 1999\n\n", "LGPL-2.1"),
+    ("Creative Commons Attribution 4.0 International Public License\n\nBy exercising", "CC-BY-4.0"),
+    ("Creative Commons Attribution-NonCommercial 4.0 International Public License", "CC-BY-NC-4.0"),
+    ("The mission was released under pressure and distributed under the table.", ""), ("Version 3, 29 June 2007", ""),
+]
+
+
+def test_expressions_names_holders_and_titles(spark):
+    import duckdb
+
+    assert {n for n, _ in licenses.WHOLE_RULES} <= {want for _, want in MORE}
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(MORE)], "doc_id long, text string")
+    rows = licenses.license_report(docs).collect()
+    assert {MORE[r["doc_id"]][0]: r["licenses"] for r in rows} == dict(MORE)
+    known = duckdb.connect()
+    known.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    known.executemany("INSERT INTO documents VALUES (?, ?)", [(i, t) for i, (t, _) in enumerate(MORE + HEADERS + CASES)])
+    same = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(MORE + HEADERS + CASES)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in licenses.license_report(same).collect()) == sorted(known.execute(licenses.oracle_sql()).fetchall())
+
+
+def test_every_title_holds_an_anchor():
+    assert [s for s in [*licenses.TITLES, *licenses.ALONE] if not re.search(licenses.ANCHORS, s)] == []
