@@ -3,7 +3,8 @@
 A code cuts the (rotated) space into blocks and has a few random directions in each; a filter is a
 choice of one direction per block, and a vector belongs to all filters whose direction it exceeds by
 the cap's height, found block by block without listing the others, and always to those within
-MARGIN of its best. Vectors of one label that share a filter are compared; the pairs that pass span
+the margin of its best. Blocks, directions and cap follow the number of components, so that a vector of any
+length belongs to some tens of filters. Vectors of one label that share a filter are compared; the pairs that pass span
 components. Inside a component all pairs are then compared, in blocks of bounded size, and links
 are counted per vector, never written out.
 
@@ -17,6 +18,7 @@ one node: their links add up. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,40 +33,66 @@ from pressure.llm.vectors import by_length, matrix, read_vectors
 from pressure.sources.scratch import keep
 
 SIMILAR = 0.98
-BLOCKS, DIRECTIONS, CODES = 4, 32, 2
-# A vector belongs to the filters that it exceeds by this cosine, and to those within MARGIN of its best.
-CAP, MARGIN = 0.55, 0.03
+CODES = 2
+# A vector belongs to the filters that it exceeds by the cap, and to those within the margin of its best. The cap is the
+# lowest, in steps of 0.01, with no more than this many filters a vector and code on average, on PROBES random vectors.
+WANTED, PROBES = 20, 200
+MARGIN = 0.03
+# Cosines this close to the threshold are worked out again, summed without error.
+UNSURE = 1e-9
 BLOCK_MEMBERS = 1024
 # Vectors decoded at one time.
 DECODED = 512
 
 
+def shape(length: int) -> tuple[int, int]:
+    """(blocks, directions of each): a short vector has too little in a block for four of them."""
+    return (1, 2) if length == 1 else (1, 256) if length < 16 else (2, 64) if length < 32 else (4, 32)
+
+
 @lru_cache(8)
 def code(length: int, number: int) -> tuple[np.ndarray, np.ndarray]:
     """(rotation, directions by block) for vectors of this length; blocks of a padded length are equal."""
-    width = -(-length // BLOCKS)
+    blocks, several = shape(length)
+    width = -(-length // blocks)
     rng = np.random.default_rng((length, number))
-    rotation = np.linalg.qr(rng.normal(size=(width * BLOCKS, width * BLOCKS)))[0][:length]
-    directions = rng.normal(size=(BLOCKS, DIRECTIONS, width))
-    directions /= np.linalg.norm(directions, axis=2, keepdims=True) * np.sqrt(BLOCKS)
+    rotation = np.linalg.qr(rng.normal(size=(width * blocks, width * blocks)))[0][:length]
+    directions = rng.normal(size=(blocks, several, width))
+    directions /= np.linalg.norm(directions, axis=2, keepdims=True) * np.sqrt(blocks)
     return rotation, directions
 
 
-def filters(vectors: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, filter) of every filter that a unit vector belongs to, rows ascending."""
+@lru_cache(64)
+def cap(length: int) -> tuple[float, float]:
+    """(cap, margin) for vectors of this length; cosines of long random vectors are small, so their margin is."""
+    margin = MARGIN * min(1.0, 8 / length**0.5) if length > 2 else 0.0
+    probes = _unit(np.random.default_rng((length, CODES)).normal(size=(PROBES, length)))
+    height = 100
+    while height > -100 and len(_decode(probes, 0, (height - 1) / 100, margin)[0]) <= WANTED * PROBES:
+        height -= 1
+    return height / 100, margin
+
+
+def _decode(vectors: np.ndarray, number: int, height: float, margin: float) -> tuple[np.ndarray, np.ndarray]:
     rotation, directions = code(vectors.shape[1], number)
-    turned = (vectors @ rotation).reshape(len(vectors), BLOCKS, -1)
+    blocks, several, _ = directions.shape
+    turned = (vectors @ rotation).reshape(len(vectors), blocks, -1)
     score = np.einsum("nbw,bdw->nbd", turned, directions)
     best = score.max(2)
     short = best[:, :, None] - score  # what a direction falls short of the block's best
-    allowed = np.maximum(best.sum(1) - CAP, MARGIN)
+    allowed = np.maximum(best.sum(1) - height, margin)
     row, found, used = np.arange(len(vectors)), np.zeros(len(vectors), np.int64), np.zeros(len(vectors))
-    for block in range(BLOCKS):
+    for block in range(blocks):
         total = used[:, None] + short[row, block]
         which, direction = np.nonzero(total <= allowed[row][:, None])
-        found = found[which] * DIRECTIONS + direction
+        found = found[which] * several + direction
         used, row = total[which, direction], row[which]
-    return row, found + number * DIRECTIONS**BLOCKS
+    return row, found + number * several**blocks
+
+
+def filters(vectors: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, filter) of every filter that a unit vector belongs to, rows ascending."""
+    return _decode(vectors, number, *cap(vectors.shape[1]))
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -72,6 +100,16 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
+def _similar(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Which unit vectors of two matrices (or stacks of them) are similar: the same answer for a pair wherever it stands."""
+    score = one @ two.swapaxes(-1, -2)
+    close = score >= SIMILAR
+    for *stack, i, j in np.argwhere(np.abs(score - SIMILAR) < UNSURE).tolist():
+        at = tuple(stack)
+        close[(*at, i, j)] = math.fsum(one[(*at, i)] * two[(*at, j)]) >= SIMILAR
+    return close
+
+
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, filters) of every vector; vectors of different length have different filters."""
     for batch in batches:
@@ -113,7 +151,7 @@ def _close_in_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             step = max(1, (1 << 20) // (n * n))
             for a in range(0, len(at), step):
                 rows = at[a : a + step, None] + np.arange(n)
-                close = (unit[rows] @ unit[rows].transpose(0, 2, 1)) >= SIMILAR - 1e-12
+                close = _similar(unit[rows], unit[rows])
                 close &= length[rows][:, :, None] == length[rows][:, None, :]
                 close &= label[rows][:, :, None] == label[rows][:, None, :]
                 close[:, np.arange(n), np.arange(n)] = False
@@ -135,7 +173,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if b - a < 2:
                 continue
             unit = _unit(matrix(vectors[a:b]))
-            close = unit @ unit.T >= SIMILAR
+            close = _similar(unit, unit)
             if p[a] == q[a]:
                 np.fill_diagonal(close, False)
             else:
