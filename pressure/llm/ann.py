@@ -16,7 +16,7 @@ equal vectors, those with the k + 1 smallest ids are candidates; others could no
 nearest of any query.
 
 Vectors that are null, empty, zero or hold a null or non-finite component, and rows without an id,
-take no part. Of several rows with the id of a query the smallest vector asks; a query is no candidate of its own
+take no part. Rows that repeat both id and vector count once. Of several rows with the id of a query the smallest vector asks; a query is no candidate of its own
 id. Only vectors as long as the query's are its candidates. Ties go to the smaller id. An empty
 table gives an empty result.
 """
@@ -300,7 +300,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, id_column: str = "vec_
     sent = shared(vectors.sparkSession, trees)
 
     same = Window.partitionBy("vector").orderBy("id")
-    distinct = known.withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1)
+    distinct = known.select("id", "vector").distinct().withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1)
     placed = keep(_placed(distinct, sent, most, False), "placed")
     sizes = placed.groupBy(F.size("vector").alias("length"), "cell").agg(F.ceil(F.count("*") / (1.5 * PART)).cast("long").alias("parts"))
     placed = placed.withColumn("length", F.size("vector")).join(sizes, ["length", "cell"]).drop("length")

@@ -61,33 +61,50 @@ def test_links_match_comparing_all_pairs(spark, crowd, block, monkeypatch):
     assert len(got) == len(crowd)
 
 
-def test_caps_find_pairs_at_the_threshold():
+@pytest.mark.parametrize("length", [2, 3, 8, 16, 31, 32, 64, 128])
+def test_caps_find_pairs_at_the_threshold(length):
     rng = np.random.default_rng(1)
-    x = caps._unit(rng.normal(size=(2000, 64)))
+    x = caps._unit(rng.normal(size=(2000, length)))
     z = rng.normal(size=x.shape)
     z = caps._unit(z - (z * x).sum(1, keepdims=True) * x)
     y = 0.98 * x + np.sqrt(1 - 0.98**2) * z
-    met = np.zeros(len(x), bool)
+    met, several = np.zeros(len(x), bool), 0
     for number in range(caps.CODES):
-        one, two = (set(zip(*(a.tolist() for a in caps.filters(v, number)), strict=True)) for v in (x, y))
+        both = [caps.filters(v, number) for v in (x, y)]
+        one, two = (set(zip(*(a.tolist() for a in found), strict=True)) for found in both)
         met[[row for row, _ in one & two]] = True
+        several += len(one) / len(x)
     assert met.mean() >= 0.999
+    assert several <= 3 * caps.WANTED
 
 
-def test_filters_are_all_that_exceed_the_cap():
+@pytest.mark.parametrize("length", [1, 3, 8, 20, 40])
+def test_filters_are_all_that_exceed_the_cap(length):
     rng = np.random.default_rng(2)
-    x = caps._unit(rng.normal(size=(20, 8)))
-    rotation, directions = caps.code(8, 0)
+    x = caps._unit(rng.normal(size=(20, length)))
+    rotation, directions = caps.code(length, 0)
     row, found = caps.filters(x, 0)
-    turned = (x @ rotation).reshape(20, caps.BLOCKS, -1)
+    turned = (x @ rotation).reshape(20, len(directions), -1)
     score = np.einsum("nbw,bdw->nbd", turned, directions)
-    every = score[:, 0, :, None, None, None] + score[:, 1, None, :, None, None] + score[:, 2, None, None, :, None] + score[:, 3, None, None, None, :]
-    every = every.reshape(20, -1)
-    need = np.minimum(caps.CAP, every.max(1) - caps.MARGIN)
+    every = np.zeros((20, 1))
+    for block in range(len(directions)):
+        every = (every[:, :, None] + score[:, block, None, :]).reshape(20, -1)
+    cap, margin = caps.cap(length)
+    need = np.minimum(cap, every.max(1) - margin)
     for i in range(20):
         assert sorted(found[row == i]) == np.flatnonzero(every[i] >= need[i] - 1e-12).tolist()
 
 
+def test_one_measure_decides_at_the_threshold(spark):
+    """A pair that falls short of the threshold by 4e-13 is linked nowhere; one at it is linked in full."""
+    short, at = (np.array([c, np.sqrt(1 - c * c)]) for c in (0.98 - 4e-13, 0.98 + 4e-13))
+    rows = [(1, [1.0, 0.0], 1), (2, short.tolist(), 1), (3, [1.0, 0.0], 2), (4, at.tolist(), 2)]
+    got = caps.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == {
+        1: (0, 1, True), 2: (0, 2, True), 3: (1, 3, True), 4: (1, 3, False),
+    }
+
+
 def test_odd_vectors_link_with_nothing(spark):
     df = spark.createDataFrame(ODD, SCHEMA)
     clash = df.select("*", *[F.lit(1).alias(c) for c in ("id", "vector", "rows", "own", "p", "component", "score")])
@@ -148,5 +165,14 @@ def test_ties_and_odd_vectors(spark):
     assert ann.nearest(odd.limit(0), F.col("vec_id") % 20 == 0, 20).collect() == []
 
 
+def test_repeated_rows_count_once(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist(), 1) for i in range(60)]
+    repeated = spark.createDataFrame(rows * 3 + rows[:1] * 3000, SCHEMA)
+    got = ann.nearest(repeated, F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect()
+    want = brute_nearest(rows, 20)
+    assert {q: [r["vec_id"] for r in got if r["query_id"] == q] for q in want} == {q: [i for i, _ in w] for q, w in want.items()}
+
+
 def test_chi_square():
     assert abs(ann.chi_square_quantile(0.95, 8) - 15.507) < 0.01
