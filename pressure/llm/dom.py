@@ -17,10 +17,12 @@ ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"
 NAME_PART = re.compile(r"[a-z]+|[0-9]+")
 SPACE = re.compile(r"\s+")
 
-# Elements nested deeper than this become siblings at this depth; their text stays.
+# Elements nested deeper than this become siblings at this depth; their text stays, and their end tags close nothing else.
 DEEPEST = 512
-# Elements whose content is no text of the page, and whose end is their own end tag only.
-RAW = frozenset("script style template noscript iframe object svg math textarea title audio video canvas".split())
+# Elements whose content is no text of the page, and whose end is their own end tag only: without one they reach to the end.
+RAW = frozenset("script style noscript iframe textarea title".split())
+# Elements whose content is no text of the page either; without an end tag, the start tag is as good as absent.
+SKIPPED = frozenset("template object svg audio video canvas".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "html head body address article aside blockquote button center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -98,6 +100,8 @@ def parse(source: str) -> Page:
     in_link: list[bool] = []
     page_tag = {0: "root"}
     links = 0
+    unopened: dict[str, int] = {}  # elements below the deepest that have not ended yet
+    endless: set[str] = set()  # skipped elements of which no end tag follows
 
     def flush() -> None:
         if not pieces:
@@ -124,6 +128,7 @@ def parse(source: str) -> Page:
     def close(upto: int) -> None:
         """Closes open elements down to that place in the stack."""
         nonlocal links
+        unopened.clear()  # what lies deeper ends with them
         for tag, node in stack[: upto - 1 : -1]:
             if tag in BLOCK:
                 flush()
@@ -158,18 +163,26 @@ def parse(source: str) -> Page:
             continue  # a comment or declaration
         tag = tag.lower()
         if closing:
+            if unopened.get(tag):
+                unopened[tag] -= 1
+                if tag in BLOCK:
+                    flush()
+                continue
             place = last((tag,))
             if place:
                 close(place)
             elif tag in BLOCK:
                 flush()
             continue
-        if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(source, at) if not attributes.endswith("/") else None
+        if (tag in RAW or tag in SKIPPED) and not attributes.endswith("/") and tag not in endless:
+            stop = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(source, at)
             if stop:
                 at = stop.end()
-            elif not attributes.endswith("/"):
+            elif tag in RAW:
                 at = end
+            else:
+                endless.add(tag)
+        if tag in RAW or tag in SKIPPED:
             continue
         if tag in VOID:
             if tag == "hr":
@@ -191,9 +204,14 @@ def parse(source: str) -> Page:
             linked.append(0)
             if len(stack) < DEEPEST:
                 stack.append((tag, node))
-        elif not attributes.endswith("/") and len(stack) < DEEPEST:
-            links += tag == "a"
-            stack.append((tag, stack[-1][1]))
+            else:
+                unopened[tag] = unopened.get(tag, 0) + 1
+        elif not attributes.endswith("/"):
+            if len(stack) < DEEPEST:
+                links += tag == "a"
+                stack.append((tag, stack[-1][1]))
+            else:
+                unopened[tag] = unopened.get(tag, 0) + 1
     flush()
     close(1)
     page.features[0] += _amounts("below ", total[0], linked[0])

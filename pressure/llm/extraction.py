@@ -11,7 +11,8 @@ No table has labelled pages, so they are drawn from a grammar of page layouts
 (`labelled_pages`), in which the author of a block knows whether it is content. Its words are random: the
 model can only learn structure.
 
-Null and empty pages have an empty text. Rows are handled one by one. Columns of the result's own
+Null and empty pages have an empty text. An element that is not text of the page (a picture, a player) and never ends
+hides nothing; only scripts, styles and the like then reach to the end. Rows are handled one by one. Columns of the result's own
 names are replaced, others are kept.
 """
 

@@ -27,6 +27,19 @@ def test_blocks_of_broken_markup():
     assert blocks(deep) == ["deep"]
 
 
+def test_no_text_is_lost_behind_open_or_deep_elements():
+    for tag in ("svg", "object", "canvas", "video", "audio", "template"):
+        assert blocks(f"<p>one <{tag} class=x>two<p>three") == ["one two", "three"]
+        assert blocks(f"<p>one <{tag}>no</{tag}> two <{tag}/>three") == ["one two three"]
+    assert blocks("<p>so <math><mi>x</mi> = <mn>2</mn></math> holds") == ["so x = 2 holds"]
+    assert blocks("<p>one<script>two<p>three") == ["one"]
+    for n in (400, 600, 3000):
+        page = parse("<article><p>a</p>" + "<div><b>" * n + "deep" + "</b></div>" * n + "<p>last</p></article><p>out")
+        inside = [up for t, up in zip(page.text, page.parent, strict=True) if t in ("a", "last")]
+        assert [t for t in page.text if t is not None] == ["a", "deep", "last", "out"]
+        assert page.parent[inside[0]] == page.parent[inside[1]]
+
+
 def test_messages_give_the_marginals_of_summing_over_all_labellings():
     rng = np.random.default_rng(1)
     page = parse("<div><p>a</p><ul><li>b</li><li>c</li></ul></div><p>d")
