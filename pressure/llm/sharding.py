@@ -3,11 +3,14 @@
 Every record hashes into one of a few thousand slots, for good. Bytes and rows are added up by
 slot; a small versioned table says which shard holds which slot. The first version deals the
 heaviest slots first, each to the lightest shard; later versions are edits of it: slots move only
-as far as a new shard or a lopsided load asks for. A record's place inside its shard follows from
+as far as a new shard or a lopsided load asks for. Every version is stored, and records are placed by
+what is read back. A record's place inside its shard follows from
 the rows of the slots before its own, so no shard is ever sorted or counted in one task.
 
 A null text has no bytes and CRC 0; an empty one likewise. Rows with null ids and repeated rows are
-records of their own. An empty table gives an empty result. Only the id and text columns are read.
+records of their own: copies of a row are numbered within the part of the table that a task reads, and from the second on the
+number joins the hash, so that no number of copies makes a slot heavy. An empty table gives an empty result and
+stores no map. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pressure.sources.scratch import keep
+from pressure.sources.scratch import keep, new_folder
 
 SLOTS = 4096
 # Added to the bytes of every record.
@@ -29,12 +32,16 @@ def records(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """(id, size, text_crc32, virtual_slot): what sharding needs to know of each record."""
     text = F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary")
     crc = F.crc32(text)
+    sized = docs.select(
+        F.col(id_column).alias("id"), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), crc.alias("text_crc32"),
+        F.spark_partition_id().alias("part"),
+    )
+    copies = Window.partitionBy("id", "size", "text_crc32", "part").orderBy("id")
+    first = F.col("nth") == 1
     # The text joins the hash so that rows that share an id, or have none, are spread as well.
-    return docs.select(
-        F.col(id_column),
-        (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
-        crc.alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col(id_column), crc), F.lit(slots)).cast("int").alias("virtual_slot"),
+    hashed = F.when(first, F.xxhash64("id", "text_crc32")).otherwise(F.xxhash64("id", "text_crc32", "nth"))
+    return sized.withColumn("nth", F.row_number().over(copies)).select(
+        F.col("id").alias(id_column), "size", "text_crc32", F.pmod(hashed, F.lit(slots)).cast("int").alias("virtual_slot")
     )
 
 
@@ -96,13 +103,18 @@ def store_map(table: DataFrame, path: str) -> None:
     table.coalesce(1).write.mode("append").partitionBy("map_version").parquet(path)
 
 
-def load_map(spark: SparkSession, path: str, version: int | None = None) -> tuple[dict[int, int], int]:
-    """slot -> shard, of one version or the newest."""
+def read_map(spark: SparkSession, path: str, version: int | None = None) -> tuple[DataFrame, int]:
+    """The stored table of one version, or of the newest, and its version."""
     stored = spark.read.parquet(path)
     if version is None:
         version = stored.agg(F.max("map_version")).first()[0]
-    rows = stored.where(F.col("map_version") == version).select("virtual_slot", "shard").collect()
-    return {r["virtual_slot"]: r["shard"] for r in rows}, version
+    return stored.where(F.col("map_version") == version).select(*stored.columns), version
+
+
+def load_map(spark: SparkSession, path: str, version: int | None = None) -> tuple[dict[int, int], int]:
+    """slot -> shard, of one version or the newest; as many entries as there are slots at most."""
+    stored, version = read_map(spark, path, version)
+    return {r["virtual_slot"]: r["shard"] for r in stored.select("virtual_slot", "shard").collect()}, version
 
 
 def place(sized: DataFrame, table: DataFrame, id_column: str = "doc_id") -> DataFrame:
@@ -119,11 +131,27 @@ def place(sized: DataFrame, table: DataFrame, id_column: str = "doc_id") -> Data
     )
 
 
-def shard_by_bytes(docs: DataFrame, shards: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version): shards of near equal bytes."""
+def shard_by_bytes(
+    docs: DataFrame, shards: int, id_column: str = "doc_id", text_column: str = "text", map_path: str | None = None, edit: bool = False
+) -> DataFrame:
+    """(id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version): shards of near equal bytes.
+
+    The map is stored at map_path, in a new folder by default. With `edit`, a map stored there before is rebalanced to the
+    table's loads and to the number of shards, and stored as the next version; without, the first version is dealt.
+    """
+    spark = docs.sparkSession
     sized = keep(records(docs, id_column, text_column), "sharding")
     loads = slot_loads(sized)
-    table = slot_map(docs.sparkSession, deal(loads, shards), loads, 1)
+    path = map_path or new_folder(spark, "slot-map")
+    if edit:
+        stored, version = load_map(spark, path)
+        placed, version = rebalance(stored, loads, shards), version + 1
+    else:
+        placed, version = deal(loads, shards), 1
+    table = slot_map(spark, placed, loads, version)
+    if loads:
+        store_map(table, path)
+        table, _ = read_map(spark, path, version)
     return place(sized, table, id_column).select(
         id_column, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version",

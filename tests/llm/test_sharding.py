@@ -59,6 +59,46 @@ def test_maps_are_stored_by_version(spark, tmp_path):
     assert sharding.load_map(spark, str(tmp_path / "map"), 1) == (one, 1)
 
 
+def held_by_shard(rows):
+    held = defaultdict(int)
+    for r in rows:
+        held[r["shard"]] += r["size"]
+    return held
+
+
+def test_the_stored_map_is_edited_when_documents_are_added(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    path = str(tmp_path / "map")
+    early = docs.where("doc_id % 10 < 7")
+    before = {r["doc_id"]: r for r in sharding.shard_by_bytes(early, 40, map_path=path).collect()}
+    old, _ = sharding.load_map(spark, path, 1)
+    assert all(r["shard"] == old[r["virtual_slot"]] and r["map_version"] == 1 for r in before.values())
+    rows = sharding.shard_by_bytes(docs, 41, map_path=path, edit=True).collect()
+    new, version = sharding.load_map(spark, path)
+    assert version == 2 and sharding.load_map(spark, path, 1)[0] == old
+    assert all(r["shard"] == new[r["virtual_slot"]] and r["map_version"] == 2 for r in rows)
+    assert all(r["virtual_slot"] == before[r["doc_id"]]["virtual_slot"] for r in rows if r["doc_id"] in before)
+    held = held_by_shard(rows)
+    assert max(held.values()) <= 1.03 * sum(held.values()) / 41 and len(held) == 41
+    # No more leaves its shard than the new one takes and the uneven growth of the others asks for.
+    assert sum(r["size"] for r in rows if r["doc_id"] in before and r["shard"] != before[r["doc_id"]]["shard"]) <= 0.15 * sum(held.values())
+    places = defaultdict(list)
+    for r in rows:
+        places[r["shard"]].append(r["slot"])
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+@pytest.mark.parametrize("part", [1, 8])
+def test_repeated_rows_are_spread(spark, part):
+    docs = spark.createDataFrame([(1, "one text", "en")] * 12000 + [(i, f"text {i} ", "en") for i in range(2, 3000)], "doc_id long, text string, lang string")
+    rows = sharding.shard_by_bytes(docs.repartition(part), 40).collect()
+    held = held_by_shard(rows)
+    assert len(rows) == docs.count() and len(held) == 40
+    assert max(held.values()) <= 1.02 * min(held.values())
+    doubled = sharding.shard_by_bytes(docs.unionAll(docs), 40).collect()
+    assert len(doubled) == 2 * len(rows) and max(held_by_shard(doubled).values()) <= 1.02 * min(held_by_shard(doubled).values())
+
+
 @pytest.mark.parametrize("shards", [1, 3, 40])
 def test_odd_rows(odd_docs, no_docs, shards):
     rows = sharding.shard_by_bytes(odd_docs, shards).collect()
