@@ -8,6 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressure.operators.dedup import repeated
+from pressure.sources.scratch import keep
+
+# Keys of one range: as many as a digest stands for.
+RANGE_KEYS = 1 << 20
+
 
 def _result(check: str, checked: Column, violations: Column) -> list[Column]:
     return [
@@ -72,8 +78,9 @@ def unique_key(check: str, df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def unique_rows(check: str, df: DataFrame, row_id: str) -> DataFrame:
-    """Groups of rows that agree on everything but the id."""
-    return unique_key(check, df, [c for c in df.columns if c != row_id])
+    """Groups of rows that agree on everything but the id; only fingerprints of rows are shuffled."""
+    n, none = F.count("*"), F.lit(0)
+    return tally([(df, {check: (n, none)}), (repeated(df, row_id), {check: (none, F.count_if(F.col("_n") > 1))})])
 
 
 def distinct_ids(check: str, df: DataFrame, column: str) -> DataFrame:
@@ -92,10 +99,40 @@ def accepted_values(check: str, df: DataFrame, column: str, values: Sequence[str
     return groups.agg(*_result(check, F.sum("_n"), F.count_if(outside(column, values))))
 
 
+def _digests(side: DataFrame, sign: int) -> DataFrame:
+    """Per range of keys: rows, and sums of hash halves, which are equal for equal rows in any order; negated for sign -1."""
+    hashes = [F.xxhash64(F.lit(seed), "_key", "_known") for seed in range(2)]
+    halves = [half for h in hashes for half in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    sums = [(F.try_sum(half) * sign).alias(f"_d{i}") for i, half in enumerate(halves)]
+    return side.groupBy("_range").agg(F.count("*").alias("_rows"), (F.count("*") * sign).alias("_d"), *sums)
+
+
 def null_parity(check: str, left: DataFrame, a: str, right: DataFrame, b: str, key: str) -> DataFrame:
-    """Rows joined one to one where one side is unknown and the other is not."""
-    pairs = left.select(key, F.col(a).alias("_a")).join(right.select(key, F.col(b).alias("_b")), key)
-    return pairs.agg(*_result(check, F.count("*"), F.count_if(F.col("_a").isNull() != F.col("_b").isNull())))
+    """Rows joined one to one where one side is unknown and the other is not.
+
+    `key` is an integer, unique in `right`. Both tables are digested by range of keys, whatever their order. Ranges of equal
+    digests hold equal rows and are counted without a join; only the rows of the other ranges meet.
+    """
+
+    def side(df: DataFrame, column: str) -> DataFrame:
+        known = df.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("_key"), F.col(column).isNotNull().alias("_known"))
+        return known.withColumn("_range", F.floor(F.col("_key") / RANGE_KEYS))
+
+    one, two = side(left, a), side(right, b)
+    parts = [f"_d{i}" for i in ("", 0, 1, 2, 3)]
+    both = _digests(one, 1).unionAll(_digests(two, -1)).groupBy("_range")
+    same = reduce(lambda x, y: x & y, [F.coalesce(F.try_sum(part) == 0, F.lit(False)) for part in parts])  # unknown: too many rows to add up
+    # One row per range that the tables share or not.
+    ranges = keep(both.agg(F.max("_rows").alias("_rows"), same.alias("_same")), "ranges")
+    differ = ranges.where(~F.col("_same")).select("_range")
+    n, none = F.count("*"), F.lit(0)
+    equal = (ranges.where("_same"), {check: (F.sum("_rows"), none)})
+    if differ.isEmpty():
+        return tally([equal])
+    pairs = one.join(differ, "_range", "left_semi").join(
+        two.join(differ, "_range", "left_semi").select("_key", F.col("_known").alias("_other")), "_key"
+    )
+    return tally([equal, (pairs, {check: (n, F.count_if(F.col("_known") != F.col("_other")))})])
 
 
 def report(checks: Sequence[DataFrame]) -> DataFrame:

@@ -35,3 +35,17 @@ def test_copies(spark):
     assert extra_copies(df, "id").first()["duplicates"] == 2
     assert extra_copies(df).first()["duplicates"] == 0
     assert extra_copies(df.limit(0)).first()["duplicates"] == 0
+
+
+def test_rows_whose_fingerprints_meet_are_compared(spark, monkeypatch):
+    from pressure.operators import dedup
+
+    rows = [(i, i % 7 or None, "ab"[i % 2] if i % 3 else None) for i in range(60)] + [(60, None, "1"), (61, 1, None)]
+    df = spark.createDataFrame(rows, "id long, a long, b string")
+    want = len(rows) - len({r[1:] for r in rows})
+    assert extra_copies(df, "id").first()["duplicates"] == want
+    assert dedup.fingerprint(["a", "b"])[0] is not None
+    swapped = df.where("id >= 60").select(*dedup.fingerprint(["a", "b"])).collect()
+    assert swapped[0] != swapped[1]
+    monkeypatch.setattr(dedup, "fingerprint", lambda columns: [F.lit(1), F.lit(2)])
+    assert extra_copies(df, "id").first()["duplicates"] == want

@@ -31,11 +31,29 @@ def test_each_check_counts_its_violations(spark, table):
     assert [tuple(r) for r in both.collect()] == [("null", 5, 1), ("big", 5, 2)]
 
 
+def test_parity_joins_only_ranges_that_differ(spark, monkeypatch):
+    monkeypatch.setattr(Q, "RANGE_KEYS", 100)
+    left = spark.range(1000).select("id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("v"))
+    same = left.select("id", F.col("v").cast("string").alias("w")).repartition(7)
+    equal = Q.null_parity("c", left, "v", same, "w", "id")
+    assert result(equal) == (1000, 0)
+    assert "Join" not in equal._jdf.queryExecution().executedPlan().toString()
+    planted = same.withColumn("w", F.when(~F.col("id").isin(5, 6, 418), F.col("w")).otherwise(F.when(F.col("id") == 6, "x")))
+    assert result(Q.null_parity("c", left, "v", planted, "w", "id")) == (1000, 3)
+    doubled = left.unionAll(left.where("id < 150"))
+    assert result(Q.null_parity("c", doubled, "v", planted, "w", "id")) == (1150, 5)
+    assert result(Q.null_parity("c", left.where("id >= 300"), "v", same.where("id < 700"), "w", "id")) == (400, 0)
+    negative = left.select((F.col("id") - 500).alias("id"), "v")
+    assert result(Q.null_parity("c", negative, "v", same, "w", "id"))[0] == 500
+
+
 def test_checks_on_nothing(table):
     none = table.limit(0)
     assert result(Q.unique_key("c", none, ["id"])) == (0, 0)
     assert result(Q.accepted_values("c", none, "s", ["a"])) == (0, 0)
     assert result(Q.same_row_count("c", none, none)) == (0, 0)
+    assert result(Q.unique_rows("c", none, "id")) == (0, 0)
+    assert result(Q.null_parity("c", none, "v", none, "s", "id")) == (0, 0)
 
 
 def test_built_tables_pass(layers):
