@@ -424,7 +424,7 @@ def queries() -> dict[str, Query]:
         "profile_nulls": _on_raw(P.nulls),
         "profile_duplicates": _on_raw(lambda raw: extra_copies(raw, "event_id")),
         "profile_describe": _on_raw(lambda raw: _rounded(P.describe(raw, _numbers(raw)))),
-        "profile_describe_ranges": _on_raw(lambda raw: _rounded(P.describe(raw, _numbers(raw), SMALL))),
+        "profile_describe_ranges": _on_raw(lambda raw: _rounded(P.describe(raw, _numbers(raw), bins=3))),
         "profile_value_counts": _on_raw(lambda raw: P.value_counts(raw, "Event")),
         "profile_extent": _on_raw(lambda raw: P.extent(raw, COORDINATES)),
         "profile_distinct": _on_raw(lambda raw: P.distinct_values(raw, "Player 2")),
