@@ -5,12 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressure.config import LIMITS
 from pressure.sources.scratch import keep, keep_counted
 
+# No limit is so low that parts of this many rows are too much for a task.
+_PART_ROWS = 100_000
+
+
+def part_count(spark: SparkSession, rows: int, part_rows: int, most_rows: int) -> int:
+    """Into how many tasks or files a table is cut: parts of `part_rows` rows, and of `most_rows` at most.
+
+    There are no more parts than a shuffle has, unless these would hold more than `most_rows` rows. So limits of a few rows
+    do not ask for a task and a file for every few rows of a large table.
+    """
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(min(shuffled, ceil(rows / part_rows)), ceil(rows / max(most_rows, _PART_ROWS)), 1)
+
 
 def running_total(
     df: DataFrame,
@@ -21,7 +34,7 @@ def running_total(
 ) -> DataFrame:
     """Adds `name`, the sum of `weight` over all rows up to this one; `order` must be unique.
 
-    A small table takes one sorted window. A larger one is cut into sorted ranges; each range
+    A small table takes one sorted window. A larger one is cut into sorted ranges (`part_count`); each range
     sums on its own and adds the total of the ranges before it. The ranges are written before
     they are used twice, because sampling could place their borders differently next time.
     """
@@ -33,12 +46,12 @@ def running_total(
         return rows.withColumn(
             name, F.sum(weight).over(Window.orderBy(*sort).rowsBetween(*so_far)).cast("long")
         )
-    ranges = ceil(count / one_task_rows)
+    ranges = part_count(df.sparkSession, count, one_task_rows, one_task_rows)
     ranged = keep(
         rows.repartitionByRange(ranges, *sort).withColumn("_range", F.spark_partition_id()), "ranges"
     )
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range, so at most count / one_task_rows of them.
+    # One row per range.
     before = (
         ranged.groupBy("_range")
         .agg(F.sum(weight).alias("_sum"))

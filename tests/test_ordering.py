@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pressure.operators.dedup import extra_copies, first_of_equals
-from pressure.operators.ordering import row_numbers, running_total
+from pressure.operators import ordering
+from pressure.operators.ordering import part_count, row_numbers, running_total
 
 
 @pytest.mark.parametrize("one_task_rows", [1000, 30, 1])
@@ -28,6 +29,26 @@ def test_running_total(spark, one_task_rows):
         assert row["s"] == total
 
 
+def test_low_limits_ask_for_no_more_ranges_than_a_shuffle_has(spark, monkeypatch):
+    kept = []
+
+    def keep(df, label):
+        kept.append(df)
+        return df
+
+    monkeypatch.setattr(ordering, "keep", keep)
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = row_numbers(spark.range(40 * shuffled), ["id"], "n", 2)
+    assert got.where("n != id + 1").isEmpty()
+    (ranged,) = kept
+    assert 1 < ranged.select("_range").distinct().count() <= shuffled
+    assert part_count(spark, 36_000_000, 16, 16) == max(shuffled, 360)
+    # Other limits stand: ranges of 1,000,000 rows, and of 200,000.
+    assert part_count(spark, 10**9, 10**6, 10**6) == max(shuffled, 1000)
+    assert part_count(spark, 10**9, 200_000, 200_000) == 5000
+    assert part_count(spark, 0, 16, 16) == 1
+
+
 def test_copies(spark):
     rows = [(5, "a", None), (2, "a", None), (9, "a", 1.0), (4, "b", None), (7, "a", None)]
     df = spark.createDataFrame(rows, "id long, s string, x double")
