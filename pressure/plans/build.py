@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressure.config import LIMITS, RULES, Limits, Rules
+from pressure.operators.ordering import part_count
 from pressure.operators.sequence import RUN, Laid, large_groups, split_groups
 from pressure.plans.clean import clean_events
 from pressure.plans.dims import dim_game, dim_player, dim_team
@@ -65,8 +66,7 @@ class Layers:
 
 def _buckets(spark: SparkSession, rows: int, limits: Limits) -> int:
     """As many as a shuffle has, fewer for a small table, more where one would hold more than `chunk_rows` rows."""
-    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(min(shuffled, -(-rows // _BUCKET_ROWS)), -(-rows // limits.chunk_rows), 1)
+    return part_count(spark, rows, min(_BUCKET_ROWS, limits.chunk_rows), limits.chunk_rows)
 
 
 def store_events(build: Build, clean: DataFrame, games: DataFrame, facts: DataFrame, limits: Limits = LIMITS) -> DataFrame | Laid:

@@ -154,3 +154,11 @@ def test_games_over_the_limit_are_kept_apart_and_give_the_same(spark, layers):
     assert exchanges(wins.with_previous(stored.ordinary, None)) == []
     for job in (wins.events_lagged, wins.fact_puck_wins, wins.first_own_shot):
         assert sorted(map(str, job(stored, limits=limits).collect())) == sorted(map(str, job(table).collect()))
+
+
+def test_low_limits_ask_for_no_more_buckets_than_a_shuffle_has(spark):
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert B._buckets(spark, 6_000_000, Limits(chunk_rows=64)) == max(shuffled, 60)
+    assert B._buckets(spark, 36_000_000, Limits()) == max(shuffled, 36)
+    assert B._buckets(spark, 25_000, Limits()) == min(shuffled, 3)
+    assert B._buckets(spark, 0, Limits()) == 1
