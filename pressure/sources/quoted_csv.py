@@ -26,6 +26,8 @@ from pressure.sources.csv_log import Write, block_key, file_schema, fixed_splits
 from pressure.sources.scratch import keep
 
 _BLOCK = "_path string, _start long, _odd boolean, _outside long, _inside long, _header string"
+# What a task reads at most if there are more tasks than a shuffle has; the size of Spark's own file splits.
+_TASK_BYTES = 128 << 20
 _PIECE = "event_id long, _nth long, _whole boolean, text string"
 
 
@@ -39,39 +41,59 @@ def _blank(lines: pa.Array) -> np.ndarray:
     return pc.equal(pc.utf8_trim_whitespace(lines), "").to_numpy(zero_copy_only=False)
 
 
-def _count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per block: its parity, and the records that begin in it for both states it may be entered in."""
-    block, state, counts, header = None, 0, [0, 0], None
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    """The rows of a task cut where a block ends, and whether a block begins with them. A task reads its blocks one by one."""
+    last = None
     for batch in batches:
         if not batch.num_rows:
             continue
+        paths, starts = batch["_path"], batch["_start"].to_numpy(zero_copy_only=False)
+        other = pc.not_equal(paths[1:], paths[:-1]).to_numpy(zero_copy_only=False) | (starts[1:] != starts[:-1])
+        cuts = [0, *(np.flatnonzero(other) + 1), batch.num_rows]
+        for begin, end in zip(cuts, cuts[1:], strict=False):
+            block = (paths[begin].as_py(), int(starts[begin]))
+            yield block != last, batch.slice(begin, end - begin)
+            last = block
+
+
+def _count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per block: its parity, and the records that begin in it for both states it may be entered in."""
+    schema = pa.schema([
+        ("_path", pa.string()), ("_start", pa.int64()), ("_odd", pa.bool_()), ("_outside", pa.int64()), ("_inside", pa.int64()), ("_header", pa.string()),
+    ])
+    rows: list[dict] = []
+    for begins_block, batch in _by_block(batches):
         lines = batch["value"]
-        if block is None:
-            block = (batch["_path"][0].as_py(), batch["_start"][0].as_py())
-            header = lines[0].as_py().rstrip("\r") if block[1] == 0 else None
-        states = _states(lines, state)
+        if begins_block:
+            start = batch["_start"][0].as_py()
+            header = lines[0].as_py().rstrip("\r") if start == 0 else None
+            rows.append({"_path": batch["_path"][0].as_py(), "_start": start, "_odd": False, "_outside": -(start == 0), "_inside": 0, "_header": header})
+        block = rows[-1]
+        states = _states(lines, int(block["_odd"]))
         begins = states[:-1]
         filled = ~_blank(lines)
-        counts = [c + int(((begins == entered) & filled).sum()) for entered, c in enumerate(counts)]
-        state = int(states[-1])
-    if block is not None:
-        rows = {"_path": [block[0]], "_start": [block[1]], "_odd": [bool(state)], "_outside": [counts[0] - (header is not None)], "_inside": [counts[1]], "_header": [header]}
-        yield pa.RecordBatch.from_pydict(rows, pa.schema([
-            ("_path", pa.string()), ("_start", pa.int64()), ("_odd", pa.bool_()), ("_outside", pa.int64()), ("_inside", pa.int64()), ("_header", pa.string()),
-        ]))
+        for entered, name in enumerate(("_outside", "_inside")):
+            block[name] += int(((begins == entered) & filled).sum())
+        block["_odd"] = bool(states[-1])
+    yield pa.RecordBatch.from_pylist(rows, schema)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The records of a block, numbered; what belongs to an earlier one, or goes on in the next, as a piece."""
+    """The records of each block, numbered; what belongs to an earlier one, or goes on in the next, as a piece."""
     schema = pa.schema([("event_id", pa.int64()), ("_nth", pa.int64()), ("_whole", pa.bool_()), ("text", pa.string())])
     state = number = start = None
     pending: list[str] = []  # lines of the record that has begun
     begun = skip = False
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+
+    def left() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"event_id": [number], "_nth": [start], "_whole": [False], "text": ["\n".join(pending)]}, schema)
+
+    for begins_block, batch in _by_block(batches):
         lines = batch["value"]
-        if state is None:
+        if begins_block:
+            if pending:
+                yield left()
+            pending, begun = [], False
             state, number, start = int(batch["_entered"][0].as_py()), batch["_before"][0].as_py(), batch["_start"][0].as_py()
             skip = start == 0  # the header
         states = _states(lines, state)
@@ -91,14 +113,25 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = int(states[-1])
         yield pa.RecordBatch.from_pydict(found, schema)
     if pending:
-        yield pa.RecordBatch.from_pydict({"event_id": [number], "_nth": [start], "_whole": [False], "text": ["\n".join(pending)]}, schema)
+        yield left()
+
+
+def _task_count(spark: SparkSession, path: str) -> int:
+    """Tasks to read the blocks of all files by: those of a shuffle, more where one would read more than `_TASK_BYTES`.
+
+    Blocks may be small, and every task reports to the driver.
+    """
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // _TASK_BYTES))
 
 
 def ingest_quoted(spark: SparkSession, path: str, limits: Limits, write: Write) -> DataFrame:
     """The rows of all files in file order with their number, parsed by name and type, written once."""
     schema = file_schema(spark, path, multi_line=True)
+    tasks = _task_count(spark, path)
     with fixed_splits(spark):
-        lines = with_block(spark.read.option("lineSep", "\n").text(path))
+        # Neighbouring blocks share a task, which reads each from top to bottom.
+        lines = with_block(spark.read.option("lineSep", "\n").text(path)).coalesce(tasks)
         blocks = lines.mapInArrow(_count_blocks, _BLOCK)
         earlier = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
         odd = F.coalesce(F.count_if("_odd").over(earlier), F.lit(0)) % 2 == 1
@@ -110,7 +143,7 @@ def ingest_quoted(spark: SparkSession, path: str, limits: Limits, write: Write)
         _check(spark, path, entered.groupBy("_path").agg(ends, F.max("_header").alias("_header")))
         # Lines must stay in order, so the table of blocks is broadcast: one short row for each 128 MB or so.
         cut = lines.select("*", block_key()).join(F.broadcast(placed), on)
-        pieces = cut.select("value", "_start", "_entered", "_before").mapInArrow(_cut, _PIECE)
+        pieces = cut.select("value", "_path", "_start", "_entered", "_before").mapInArrow(_cut, _PIECE)
         return _parsed(pieces, schema, total, write)
 
 

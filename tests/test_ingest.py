@@ -75,6 +75,22 @@ def test_one_file_is_read_by_many_tasks(spark, tmp_path, small_blocks):
     assert len(found(ingest_events(spark, str(tmp_path), multi_line=True))) == 300
 
 
+def test_small_blocks_share_tasks(spark, tmp_path, small_blocks):
+    text = log(300, 9)
+    (tmp_path / "a.csv").write_text(text, newline="")
+    (tmp_path / "b.csv").write_text(text, newline="")
+    tasks = []
+
+    def write(df):
+        tasks.append(df.rdd.getNumPartitions())
+        return keep(df, "shared-tasks")
+
+    assert found(ingest_events(spark, str(tmp_path), multi_line=True, write=write)) == expected(text, text)
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The blocks, over 20, and the records put together from pieces.
+    assert tasks[0] <= 2 * shuffled < 20
+
+
 def test_open_quotes_and_other_headers_are_errors(spark, tmp_path):
     (tmp_path / "a.csv").write_text(log(5, 1) + '2020-01-01,"no end')
     with pytest.raises(ValueError, match="inside quotes"):
