@@ -6,9 +6,11 @@ import importlib
 import os
 import sys
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from functools import reduce
 from pathlib import Path
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from pressure.plans.build import STAGED, TABLES, Layers, build_all, build_if_abs
 from pressure.plans.profiling import COORDINATES, profile_folder
 from pressure.sources.csv_log import ingest_events
 from pressure.sources import builds
-from pressure.sources.scratch import file_state, new_folder
+from pressure.sources.scratch import file_state, keep, new_folder
 from pressure.sources.tables import forget
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,12 +131,22 @@ def _through_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_events(spark, _as_csv(spark, sf_dir))
 
 
+def _in_order(log: DataFrame, *order: str) -> DataFrame:
+    """The log sorted by other tasks than those that read it: one file per sorted range, read range after range.
+
+    So a task that writes one file of it holds no rows. There are no more ranges than a shuffle has.
+    """
+    ranges = keep(log.orderBy(*order), "ordered")
+    files = sorted(unquote(file) for file in ranges.inputFiles())  # named by their place in the order
+    return reduce(DataFrame.unionAll, [log.sparkSession.read.schema(ranges.schema).parquet(file) for file in files])
+
+
 def _quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log with line breaks, quotes and commas inside quotes, in one file that is read in many blocks."""
     folder = new_folder(spark, "csv")
     broken = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit('two\nlines, "'), F.col("Event"), F.lit('"\n\n')))
     log = raw_log(spark, sf_dir).withColumn("Detail 1", F.coalesce(broken, F.col("Detail 1")))
-    log.orderBy("event_id").drop("event_id").coalesce(1).write.options(**PLAIN_CSV, escape='"').csv(folder)
+    _in_order(log, "event_id").drop("event_id").coalesce(1).write.options(**PLAIN_CSV, escape='"').csv(folder)
     size = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
     try:
@@ -185,8 +197,15 @@ def _file_profile(part: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = new_folder(spark, "files")
         log = raw_log(spark, sf_dir).withColumn("part", F.col("event_id") % 3)
-        ordered = log.repartition("part").sortWithinPartitions("part", "event_id")
-        ordered.drop("event_id").write.partitionBy("part").options(**PLAIN_CSV).csv(folder)
+        ordered = _in_order(log, "part", "event_id")
+
+        def write(number: int | None) -> None:
+            rows = ordered.where(F.col("part").eqNullSafe(F.lit(number))).drop("event_id", "part")
+            rows.coalesce(1).write.options(**PLAIN_CSV).csv(f"{folder}/part={number}")
+
+        numbers = [r["part"] for r in ordered.select("part").distinct().collect()]  # three or so
+        with ThreadPoolExecutor(len(numbers) or 1) as pool:
+            list(pool.map(write, numbers))
         rows = profile_folder(spark, f"{folder}/part=*")[part]
         number = F.regexp_extract("file", "part=([0-9]+)", 1).cast("int")
         return rows.withColumn("part", number).drop("file")

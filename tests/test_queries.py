@@ -8,6 +8,8 @@ import os
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 import check_queries
 from tests.conftest import SF
@@ -42,3 +44,19 @@ def test_entry(spark):
 
 def test_tables_are_built_once_per_input(spark):
     assert entry.layers(spark, SF) is entry.layers(spark, SF)
+
+
+def test_one_file_in_order_is_written_without_a_sort(spark):
+    log = spark.range(1000).select((F.col("id") * 37 % 1009).alias("event_id"), F.col("id").cast("string").alias("Event")).repartition(5)
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        ordered = entry._in_order(log, "event_id")
+    finally:
+        spark.conf.set(name, old)
+    assert len(ordered.inputFiles()) > 1
+    one = ordered.coalesce(1)
+    assert "Sort" not in one._jdf.queryExecution().toString()
+    assert [r["event_id"] for r in one.collect()] == sorted(i * 37 % 1009 for i in range(1000))
+    assert entry._in_order(log.limit(0), "event_id").collect() == []
