@@ -7,7 +7,6 @@ import os
 
 import duckdb
 import pytest
-
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
